@@ -1,11 +1,13 @@
-"""Shared helpers: tables in the shared folder, documents in blocks, block requests.
-
-Several operators have to ask one question about very many small keys (words, hashes of
-windows): which of them occur elsewhere, and what belongs to them? A row for each key and
-place would cost far more than the key itself. These operators cut the corpus into blocks
-of bounded size instead. Each block sends its distinct keys once, as packed arrays, to the
-partition that owns them, and gets an answer of the same order back. A key that occurs
-millions of times costs one entry a block, so frequent keys need no special treatment.
+"""Shared helpers: tables in the shared folder, documents in blocks, questions about keys.
+
+Several operators ask one question about very many small keys (hashes of windows, words):
+which of them occur elsewhere, and what belongs to them? A row for each key and place would
+cost far more than the key itself. The corpus is cut into blocks of bounded size instead, and
+each block sends its distinct keys once, as packed arrays, to the partition that owns them. It
+gets an answer of the same order back. A key that occurs millions of times costs one entry a
+block, so frequent keys need no special treatment.
+
+The blocks are a table bucketed by block: joining the answers to them moves the answers only.
 """
 
 from __future__ import annotations
@@ -16,12 +18,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block; one longer document makes a block of its own.
 BLOCK_BYTES = 2 << 20
+#: Most buckets of a table of blocks (Spark's own limit is 100,000).
+MAX_BUCKETS = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,6 +48,10 @@ def materialize(df: DataFrame, packed: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def pack(batch: pa.RecordBatch | pa.Table) -> bytes:
     """Arrow stream with zstd."""
     sink = pa.BufferOutputStream()
@@ -55,38 +64,50 @@ def unpack(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-def pack_array(x: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True)
+def pack_columns(**columns: np.ndarray) -> bytes:
+    """Numpy arrays of one length as an Arrow stream."""
+    return pack(pa.table(columns))
+
+
+def column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
 
+def record(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-def unpack_array(data: bytes, n: int, dtype: str) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, decompressed_size=n * np.dtype(dtype).itemsize, codec="zstd", asbytes=True), dtype)
+
+#: Owner of a block's notes to itself.
+NOTE = -1
+
+_BLOCK = pa.schema([("block", pa.int64()), ("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())])
+_ASKED = pa.schema([("block", pa.int64()), ("owner", pa.int32()), ("keys", pa.binary())])
 
 
 def text_blocks(docs: DataFrame, columns: list[str], text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents as rows (block, n_rows, payload), written to the shared folder. Every document
-    is in one block; a payload holds `columns` of some documents with up to block_bytes of text."""
+    """The documents as rows (block, n_rows, n_bytes, payload) of a table in the shared folder,
+    bucketed by block. Every document is in one block; a payload holds `columns` of some
+    documents with up to block_bytes of text. Null text becomes empty text."""
+    spark = docs.sparkSession
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+        block = TaskContext.get().partitionId() << 32
         held: list[pa.RecordBatch] = []
         size = 0
 
         def row() -> pa.RecordBatch:
-            # rows stay in one chunk
-            whole = pa.Table.from_batches(held).combine_chunks()
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([whole.num_rows], pa.int64()), pa.array([pack(whole)], pa.large_binary())], ["block", "n_rows", "payload"]).cast(pa.schema([("block", pa.int64()), ("n_rows", pa.int64()), ("payload", pa.binary())]))
+            whole = pa.Table.from_batches(held).combine_chunks()  # rows stay in one chunk
+            return record(_BLOCK, [block], [whole.num_rows], [size], [pack(whole)])
 
         for batch in batches:
-            where = batch.schema.get_field_index(text)
-            lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(where)), 0).cast(pa.int64()))
+            lengths = np.asarray(pc.binary_length(batch.column(batch.schema.get_field_index(text))).cast(pa.int64()))
             ends, first = np.cumsum(lengths), 0
             while first < batch.num_rows:
-                base = ends[first - 1] if first else 0
-                last = max(first + 1 if not held else first, int(np.searchsorted(ends, base + block_bytes - size, side="right")))
+                base = int(ends[first - 1]) if first else 0
+                last = max(first if held else first + 1, int(np.searchsorted(ends, base + block_bytes - size, side="right")))
                 if last > first:
                     held.append(batch.slice(first, last - first))
-                    size += int(ends[last - 1] - base)
+                    size += int(ends[last - 1]) - base
                 if last < batch.num_rows:
                     yield row()
                     block += 1
@@ -95,26 +116,32 @@ def text_blocks(docs: DataFrame, columns: list[str], text: str, block_bytes: int
         if held:
             yield row()
 
-    picked = docs.select(*columns)
-    return materialize(picked.mapInArrow(blocks, "block long, n_rows long, payload binary"), packed=True)
+    picked = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c == text else F.col(c) for c in columns])
+    name = f"blocks_{uuid.uuid4().hex}"
+    made = picked.mapInArrow(blocks, "block long, n_rows long, n_bytes long, payload binary")
+    n = min(partitions(spark), MAX_BUCKETS)
+    made.write.format("parquet").bucketBy(n, "block").option("compression", "none").option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
 
 
-def ask(blocks: DataFrame, request: Callable[[pa.Table], Iterator[tuple[int, bytes]]], answer: Callable[[list[int], list[bytes]], list[bytes]]) -> DataFrame:
+def ask(blocks: DataFrame, request: Callable[..., Iterator[tuple[int, bytes]]], answer: Callable[[list[int], list[bytes]], list[bytes]]) -> DataFrame:
     """One round of questions. request(documents) of a block gives (owner, keys) pairs;
     answer(blocks, keys) of one owner gives an answer to each. Returns rows (block, owner, reply).
-    `blocks` may have a column `replies` (list of earlier replies) that goes to request, too."""
+    If `blocks` has a column `replies` (earlier replies), request(documents, replies) is called.
+    A pair with the owner NOTE is a block's note to itself, which comes back unchanged."""
     told = "replies" in blocks.columns
+    spread = partitions(blocks.sparkSession)
 
     def ask_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                documents = unpack(batch.column("payload")[i].as_py())
-                pairs = list(request(documents, batch.column("replies")[i].as_py()) if told else request(documents))
-                if pairs:
-                    block = batch.column("block")[i].as_py()
-                    yield pa.RecordBatch.from_arrays([pa.array([block] * len(pairs), pa.int64()), pa.array([p[0] for p in pairs], pa.int32()), pa.array([p[1] for p in pairs], pa.binary())], ["block", "owner", "keys"])
+        for block, documents, replies in each_block(batches, told):
+            pairs = list(request(documents, replies) if told else request(documents))
+            if pairs:
+                own = NOTE - (block ^ block >> 32) % spread
+                yield record(_ASKED, [block] * len(pairs), [own if p[0] == NOTE else p[0] for p in pairs], [p[1] for p in pairs])
 
     def answer_all(group: pa.Table) -> pa.Table:
+        if group.column("owner")[0].as_py() <= NOTE:
+            return group.rename_columns(["block", "owner", "reply"])
         replies = answer(group.column("block").to_pylist(), group.column("keys").to_pylist())
         return pa.table({"block": group.column("block"), "owner": group.column("owner"), "reply": pa.array(replies, pa.binary())})
 
@@ -122,12 +149,58 @@ def ask(blocks: DataFrame, request: Callable[[pa.Table], Iterator[tuple[int, byt
     return asked.groupBy("owner").applyInArrow(answer_all, "block long, owner int, reply binary")
 
 
+def each_block(batches: Iterator[pa.RecordBatch], told: bool) -> Iterator[tuple[int, pa.Table, dict[int, bytes] | None]]:
+    """(block, documents, replies by owner) of batches of rows (block, payload, replies)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            replies = {max(r["owner"], NOTE): r["reply"] for r in batch.column("replies")[i].as_py() or ()} if told else None
+            yield batch.column("block")[i].as_py(), unpack(batch.column("payload")[i].as_py()), replies
+
+
 def with_replies(blocks: DataFrame, replies: DataFrame) -> DataFrame:
-    """blocks with all the replies that each got, ordered by owner."""
-    each = replies.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies"))
-    return blocks.join(each, "block", "left")
+    """blocks with all the replies that each got; only the replies are shuffled."""
+    each = replies.groupBy("block").agg(F.collect_list(F.struct("owner", "reply")).alias("replies"))
+    return blocks.join(each.hint("shuffle_hash"), "block", "left")
+
+
+def owners(spark: SparkSession, keys: int, per_owner: int = 2_000_000) -> int:
+    """How many owners share so many keys; what one of them holds stays bounded."""
+    return max(partitions(spark), -(-keys // per_owner))
+
+
+def total_bytes(blocks: DataFrame) -> int:
+    return blocks.agg(F.sum("n_bytes")).first()[0] or 0
+
+
+def shares(hashes: np.ndarray, n_owners: int) -> Iterator[tuple[int, slice]]:
+    """The owners of hashes in ascending order, with the share of each. Owners hold ranges of hashes."""
+    cuts = np.array([(k << 64) // n_owners for k in range(1, n_owners)], np.uint64)
+    starts = [0, *np.searchsorted(hashes, cuts).tolist(), len(hashes)]
+    return ((k, slice(starts[k], starts[k + 1])) for k in range(n_owners) if starts[k] < starts[k + 1])
+
+
+def contained(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which elements of x are in values (ascending)."""
+    if not len(values):
+        return np.zeros(len(x), bool)
+    return values[np.minimum(np.searchsorted(values, x), len(values) - 1)] == x
+
+
+def bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
+
+
+def flags(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
+
+
+def repeated_in(kind: type) -> Callable[[list[int], list[bytes]], list[bytes]]:
+    """An owner's answer to keys of one kind: which of them did several blocks send?"""
 
+    def answer(blocks: list[int], asked: list[bytes]) -> list[bytes]:
+        parts = [np.frombuffer(x, kind) for x in asked]
+        every = np.sort(np.concatenate([np.unique(x) for x in parts]))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        return [bits(contained(x, twice)) for x in parts]
 
-def owners(spark: SparkSession, rows: int, per_owner: int = 2_000_000) -> int:
-    """How many owners share `rows` keys, so that what one holds stays bounded."""
-    return int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_owner)))
+    return answer

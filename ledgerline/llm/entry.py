@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import packing
+from ledgerline.llm import packing, substring_dedup
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit_packing(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return packing.best_fit_packing(_table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
 def queries() -> dict:
