@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import jaccard_join, packing, substring_dedup, suffix_dedup
+from ledgerline.llm import bpe, jaccard_join, packing, substring_dedup, suffix_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,16 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"))
 
 
+def op4_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digest(bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), ["doc_id"], public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), ["doc_id"]))
 
