@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, html_text, jaccard_join, langid, packing, substring_dedup, suffix_dedup, topk, toxicity
+from ledgerline.llm import bpe, chroma, html_text, jaccard_join, langid, packing, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = chroma.tones(_table(spark, sf_dir, "embeddings"))
+    return chroma.align(chroma.fingerprints(media, "id", "audio")).withColumnRenamed("id", "vec_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_pages(_table(spark, sf_dir, "pages"), langid.train(_table(spark, sf_dir, "documents")))
 
