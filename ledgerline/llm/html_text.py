@@ -100,6 +100,8 @@ def page_lines(page: str) -> list[dict]:
 
 def between_surge_and_dive(lines: list[dict], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines of main text: those in a window whose text lengths sum to the threshold."""
+    if not lines:
+        return []
     marked = any(x["inside"] and x["plain"] for x in lines)
     lengths = np.array([len(x["text"]) if x["plain"] and (x["inside"] or not marked) else 0 for x in lines], np.int64)
     sums = np.convolve(lengths, np.ones(window, np.int64))  # sums[i]: of the window that ends at line i
