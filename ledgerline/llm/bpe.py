@@ -1,7 +1,7 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Every block of documents splits its texts at white space, which the tokenizer's own word
-pattern never crosses, and sends its distinct words to the partitions that own them. Each owner
+Every block of documents splits its texts at ASCII white space, which the tokenizer's own word
+pattern never crosses (other white space may stand inside a word and is left to the tokenizer), and sends its distinct words to the partitions that own them. Each owner
 encodes each distinct word once. The ids come back in the order in which the words were sent and
 are joined by position in the text; decoding joins ids to pieces through the vocabulary, a table
 whose size the tokenizer fixes.
@@ -17,23 +17,22 @@ are encoded alike; an empty table gives no rows; columns not asked for are ignor
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.common import ask, column, each_block, owners, pack, text_blocks, total_bytes, unpack, with_replies
+from ledgerline.llm.rolling import _INVERSE, byte_prefix, mix, powers, text_buffer
 
-BLOCK = 4 << 20
-#: Characters of the Unicode property White_Space, at which the word pattern always breaks.
-_WHITE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-#: Characters that str.split takes for white space, but the tokenizer does not.
-_ODD = re.compile("[\\x1c-\\x1f]")
+BLOCK = 8 << 20
+#: Words whose ids and text are laid out at a time.
+PART = 200_000
 _loaded: dict = {}
 
 
@@ -52,58 +51,75 @@ def _tokenizer(path: str):
     return _loaded[path]
 
 
-def split_words(text: str) -> list[str]:
-    return [w for w in _WHITE.split(text) if w] if _ODD.search(text) else text.split()
-
-
 class _Words:
-    """A block's distinct words, by owner, and what the owners said of them."""
+    """A block's distinct words, in the order of their owners, and what the owners said of them."""
 
     def __init__(self, path: str, n_owners: int):
         self.path, self.n_owners = path, n_owners
 
-    def split(self, documents: pa.Table) -> tuple[list[list[str]], list[tuple[int, pa.Array]]]:
-        from pandas.util import hash_array
-
-        texts = [split_words(t) for t in documents.column("text").to_pylist()]
-        distinct = list(dict.fromkeys(w for ws in texts for w in ws))
-        if not distinct:
-            return texts, []
-        owner = (hash_array(np.array(distinct, object), categorize=False) % np.uint64(self.n_owners)).astype(np.int64)
+    def split(self, documents: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Where each text's words start (one number more), which word stands at each place, the
+        distinct words, and where the words of each owner start (one number more)."""
+        texts = documents.column("text").combine_chunks()
+        texts = texts if isinstance(texts, pa.Array) else texts.chunk(0) if texts.num_chunks else pa.array([], pa.string())
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        words, which = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        data, offsets = text_buffer(words)
+        h = byte_prefix(data)
+        mixed = mix((h[offsets[1:]] - h[offsets[:-1]]) * powers(_INVERSE, len(h))[offsets[:-1]])
+        owner = (mixed % np.uint64(self.n_owners)).astype(np.int64)
         order = np.argsort(owner, kind="stable")
-        words = pa.array(distinct, pa.string()).take(pa.array(order))
-        starts = np.searchsorted(owner[order], np.arange(self.n_owners + 1))
-        return texts, [(k, words.slice(starts[k], starts[k + 1] - starts[k])) for k in range(self.n_owners) if starts[k] < starts[k + 1]]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        return first, place[which], words.take(pa.array(order)), np.searchsorted(owner[order], np.arange(self.n_owners + 1))
 
     def request(self, documents: pa.Table) -> Iterator[tuple[int, bytes]]:
-        for k, words in self.split(documents)[1]:
-            yield k, pack(pa.table({"word": words}))
+        _, _, words, starts = self.split(documents)
+        for k in range(self.n_owners):
+            if starts[k] < starts[k + 1]:
+                yield k, pack(pa.table({"word": words.slice(starts[k], starts[k + 1] - starts[k])}))
 
     def answer(self, blocks: list[int], asked: list[bytes]) -> list[bytes]:
         tokenizer, _ = _tokenizer(self.path)
-        asked_words = pa.concat_arrays([c for x in asked for c in unpack(x).column("word").chunks]).dictionary_encode()
-        words, which = asked_words.dictionary.to_pylist(), asked_words.indices.to_numpy()
-        ids: list[np.ndarray] = []
-        for k in range(0, len(words), 20_000):
-            ids += [np.array(e.ids, np.uint16 if len(e.ids) == 0 or max(e.ids) < 65536 else np.uint32) for e in tokenizer.encode_batch(words[k : k + 20_000], add_special_tokens=False)]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat, starts = np.concatenate(ids) if ids else np.zeros(0, np.uint16), np.cumsum(lengths) - lengths
+        tables = [unpack(x) for x in asked]
+        coded = pa.concat_arrays([c for t in tables for c in t.column("word").chunks]).dictionary_encode()
+        words, which = coded.dictionary, coded.indices.to_numpy()
+        lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for k in range(0, len(words), 4_000):  # some distinct words at a time
+            for e in tokenizer.encode_batch_fast(words.slice(k, 4_000).to_pylist(), add_special_tokens=False):
+                x = e.ids
+                lengths.append(len(x))
+                ids.append(x)
+        lengths = np.array(lengths[1:], np.int64)
+        flat = np.fromiter((i for x in ids[1:] for i in x), np.uint32, int(lengths.sum()))
+        starts = np.cumsum(lengths) - lengths
         out, at = [], 0
-        for x in asked:
-            n = unpack(x).num_rows
-            w = which[at : at + n]
-            at += n
-            take = np.repeat(starts[w] - (np.cumsum(lengths[w]) - lengths[w]), lengths[w]) + np.arange(lengths[w].sum())
-            out.append(pack(pa.table({"n": lengths[w].astype(np.int32)})) + b"|ids|" + pack(pa.table({"id": flat[take]})))
+        for t in tables:
+            w = which[at : at + t.num_rows]
+            at += t.num_rows
+            n = lengths[w]
+            take = np.repeat(starts[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            small = np.uint8 if n.max(initial=0) < 256 else np.uint32
+            out.append(pack(pa.table({"n": n.astype(small)})) + b"|ids|" + pack(pa.table({"id": flat[take].astype(np.uint16 if flat[take].max(initial=0) < 65536 else np.uint32)})))
         return out
 
-    def table(self, shares: list[tuple[int, pa.Array]], replies: dict[int, bytes]) -> dict[str, np.ndarray]:
-        """Ids of each distinct word."""
-        out: dict[str, np.ndarray] = {}
-        for k, words in shares:
-            n, ids = (unpack(x) for x in replies[k].split(b"|ids|", 1))
-            out.update(zip(words.to_pylist(), np.split(column(ids, "id").astype("<u4"), np.cumsum(column(n, "n"))[:-1]), strict=True))
-        return out
+    def ids(self, starts: np.ndarray, replies: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each distinct word has, and the ids of all one after the other."""
+        n, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for k in range(self.n_owners):
+            if starts[k] < starts[k + 1]:
+                a, b = (unpack(x) for x in replies[k].split(b"|ids|", 1))
+                n.append(column(a, "n").astype(np.int64))
+                ids.append(column(b, "id").astype(np.uint32))
+        return np.concatenate(n), np.concatenate(ids)
+
+
+def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of each run."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
 
 
 def bpe_round_trip(docs: DataFrame, columns: list[str], path: str, text: str = "text") -> DataFrame:
@@ -118,26 +134,26 @@ def bpe_round_trip(docs: DataFrame, columns: list[str], path: str, text: str = "
     schema = to_arrow_schema(T.StructType(fields))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, pieces = _tokenizer(path)
+        pieces, offsets = text_buffer(pa.array([p + " " for p in _tokenizer(path)[1]], pa.string()))
+        sizes = np.diff(offsets)
         for _, documents, replies in each_block(batches, True):
-            texts, shares = words.split(documents)
-            known = words.table(shares, replies or {})
-            ids = {w: i.tobytes() for w, i in known.items()}
-            shown = {w: " ".join([pieces[k] for k in i.tolist()]) for w, i in known.items()}
-            del known
-            first = 0
-            while first < len(texts):  # some documents at a time
-                last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last]) < 100_000):
-                    size += len(texts[last])
-                    last += 1
-                part = texts[first:last]
-                encoded = [b"".join(map(ids.__getitem__, ws)) for ws in part]
-                decoded = [" ".join(filter(None, map(shown.__getitem__, ws))) for ws in part]
-                made = [pa.array([len(x) // 4 for x in encoded], pa.int64()), pa.array(encoded, pa.binary()), pa.array(decoded, pa.string())]
-                out = pa.table([*(documents.column(c).slice(first, last - first) for c in others), *made], names=[f.name for f in fields])
+            first, which, words_of, starts = words.split(documents)
+            n, flat = words.ids(starts, replies or {})
+            del words_of
+            begin, at = np.cumsum(n) - n, 0
+            while at < documents.num_rows:  # about PART words at a time
+                end = max(at + 1, int(np.searchsorted(first, first[at] + PART, side="right")) - 1)
+                w = which[first[at] : first[end]]
+                ids = flat[_gather(begin[w], n[w])]
+                text = pieces[_gather(offsets[ids], sizes[ids])]
+                id_ends = np.concatenate([[0], np.cumsum(n[w])])[first[at : end + 1] - first[at]]
+                text_ends = np.concatenate([[0], np.cumsum(sizes[ids])])[id_ends]
+                encoded = [ids[x:y].astype("<u4").tobytes() for x, y in zip(id_ends[:-1], id_ends[1:], strict=True)]
+                decoded = [text[x : max(x, y - 1)].tobytes() for x, y in zip(text_ends[:-1], text_ends[1:], strict=True)]
+                made = [pa.array(np.diff(id_ends)), pa.array(encoded, pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())]
+                out = pa.table([*(documents.column(c).slice(at, end - at) for c in others), *made], names=[f.name for f in fields])
                 yield from out.cast(schema).to_batches()
-                first = last
+                at = end
 
     return told.select("block", "payload", "replies").mapInArrow(finish, T.StructType(fields))
 
