@@ -22,7 +22,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2**64."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         steps = np.full(max(n, 1 << 20), base, np.uint64)
         steps[0] = 1
         _powers[base] = np.multiply.accumulate(steps)
