@@ -8,8 +8,8 @@ those of its domain, which are added to those of all rows. A row's own text is l
 host's counts. A text's log likelihood counts as that of EFFECTIVE trigrams at most, as the
 trigrams of one text depend on each other.
 
-The trigram models learn from a bounded sample: TRAIN_ROWS rows a language, the least by a hash
-of their text, of at most LANGUAGES languages. Everything else sees all rows and whole texts.
+The trigram models learn from a bounded sample: about TRAIN_ROWS different texts a language, chosen
+by a hash, of at most LANGUAGES languages. Everything else sees all rows and whole texts.
 
 Defined cases: null, empty or letterless text has no likelihood, and the other evidence decides;
 if there is none of that either, the language is null and the confidence 0; an unknown or
@@ -19,6 +19,7 @@ by name; an empty table gives no rows; columns not asked for are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,14 +53,16 @@ def _trigrams(data: np.ndarray) -> np.ndarray:
 
 def train(rows: DataFrame, text: str = "text", label: str = "lang", train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """The languages by name, and the log probability of each bin in each."""
-    named = rows.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    top = [r[label] for r in named.groupBy(label).count().orderBy(F.desc("count"), label).limit(LANGUAGES).collect()]
-    sample = None
-    for name in sorted(top):
-        part = named.filter(F.col(label) == name).select(F.col(label).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")).orderBy("h").limit(train_rows)
-        sample = part if sample is None else sample.unionByName(part)
-    if sample is None:
+    named = rows.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    texts = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts"))
+    top = texts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not top:
         return [], np.zeros((BINS, 0))
+    # a text is in the sample if its hash is in the part of all hashes that holds train_rows texts
+    chosen = F.lit(False)
+    for r in top:
+        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod("h", F.lit(1 << 40)) < math.ceil(min(1.0, train_rows / max(1, r["texts"])) * (1 << 40))))
+    sample = named.filter(chosen).dropDuplicates(["lang", "h"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
