@@ -107,7 +107,7 @@ def _letters(word: str) -> int:
 class Matcher:
     """Looks words up; words that are known to be no terms are kept, up to a bound."""
 
-    KEPT = 800_000
+    KEPT = 200_000
 
     def __init__(self, model: Model):
         self.model = model
