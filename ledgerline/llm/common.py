@@ -79,6 +79,8 @@ def record(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
 
 #: Owner of a block's notes to itself.
 NOTE = -1
+#: Stands for a null id while an operator runs; sorts after all others.
+NO_ID = (1 << 63) - 1
 
 _BLOCK = pa.schema([("block", pa.int64()), ("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())])
 _ASKED = pa.schema([("block", pa.int64()), ("owner", pa.int32()), ("keys", pa.binary())])

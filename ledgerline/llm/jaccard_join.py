@@ -18,8 +18,9 @@ fit or no longer shrink; what lies outside the group's largest component is then
 every block of the group, in as many tasks.
 
 Defined cases: null and empty text, or text without words, has no shingles and is a component of
-its own; fewer words than n make one shingle; repeated rows with one doc_id are one class; an
-empty table gives no rows; extra columns are ignored.
+its own; fewer words than n make one shingle; repeated rows with one doc_id are one class; a row
+without a doc_id links nothing, it has the component of the rows with its set or null; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import ask, each_block, materialize, owners, pack_columns, partitions, shares, text_blocks, total_bytes, unpack, with_replies, column
+from ledgerline.llm.common import NO_ID, ask, each_block, materialize, owners, pack_columns, partitions, shares, text_blocks, total_bytes, unpack, with_replies, column
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.rolling import Words, mix, text_buffer
 
@@ -262,7 +263,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n:
     that links reach) of each document. Two documents link if their sets' Jaccard similarity is
     percent / 100 or more."""
     spark = docs.sparkSession
-    blocks = text_blocks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")), ["doc_id", "text"], "text")
+    blocks = text_blocks(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")), ["doc_id", "text"], "text")
 
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, documents, _ in each_block(batches, False):
@@ -272,7 +273,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n:
     signed = materialize(blocks.select("block", "payload").mapInArrow(signs, _SIGNS))
     # a class is led by its least doc_id; the place tells repeated rows apart
     leader = F.min(F.struct("doc_id", "block", "place"))
-    classes = materialize(signed.filter("n_shingles > 0").groupBy("sign", "n_shingles").agg(leader.alias("lead")).select("sign", "n_shingles", "lead.*"))
+    classes = materialize(signed.filter("n_shingles > 0").groupBy("sign", "n_shingles").agg(leader.alias("lead")).select("sign", "n_shingles", "lead.*").filter(F.col("doc_id") != NO_ID))
     counts = _Counts(n, percent, owners(spark, total_bytes(blocks) // 6))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,4 +294,5 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n:
     components = connected_components(class_links(sets, percent, group)).withColumnsRenamed({"id": "class_id"})
     named = classes.select("sign", "n_shingles", F.col("doc_id").alias("class_id"))
     found = named.join(components, "class_id", "left").select("sign", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    return signed.join(found, ["sign", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    own = F.nullif("doc_id", F.lit(NO_ID))
+    return signed.join(found, ["sign", "n_shingles"], "left").select(own.alias("doc_id"), "n_shingles", F.coalesce("class_id", own).alias("class_id"), F.coalesce("component_id", own).alias("component_id"))

@@ -17,7 +17,8 @@ its windows are compared by their hashes, each in the task that owns it.
 
 Defined cases: null and empty text, or text shorter than the window, loses nothing; repeated
 rows (also with one doc_id) are documents of their own, in some order, so all but one lose their
-windows; an empty table gives no rows; columns not asked for are ignored.
+windows; rows without an id come after all others; an empty table gives no rows; columns not asked
+for are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerline.llm.common import NOTE, ask, bits, column, each_block, flags, owners, pack_columns, repeated_in, shares, text_blocks, total_bytes, unpack, with_replies
+from ledgerline.llm.common import NO_ID, NOTE, ask, bits, column, each_block, flags, owners, pack_columns, repeated_in, shares, text_blocks, total_bytes, unpack, with_replies
 from ledgerline.llm.rolling import _INVERSE, byte_prefix, byte_windows, covered, mix, powers, text_buffer
 
 LENGTH = 100
@@ -291,7 +292,7 @@ def suffix_dedup(docs: DataFrame, columns: list[str] | None = None, id_col: str
         raise ValueError(f"length: over {GRAM}, at most 200")
     spark = docs.sparkSession
     others = list(dict.fromkeys([id_col, *(c for c in columns or () if c != text)]))
-    blocks = text_blocks(docs.withColumn(id_col, F.col(id_col).cast("long")), [*others, text], text)
+    blocks = text_blocks(docs.withColumn(id_col, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))), [*others, text], text)
     rounds = _Rounds(id_col, text, length, owners(spark, total_bytes(blocks) // 16), hot_contexts)
     told = with_replies(blocks, ask(blocks, rounds.ask_anchors, repeated_in(np.uint32)))
     told = with_replies(blocks, ask(told, rounds.ask_contexts, rounds.answer_contexts))
@@ -312,7 +313,7 @@ def suffix_dedup(docs: DataFrame, columns: list[str] | None = None, id_col: str
             out = pa.table([*(documents.column(c) for c in others), texts, pa.array(np.diff(a.offsets)), pa.array(removed), pa.array(spans)], names=[f.name for f in fields])
             yield from out.cast(schema).to_batches()
 
-    return told.select("block", "payload", "replies").mapInArrow(finish, T.StructType(fields))
+    return told.select("block", "payload", "replies").mapInArrow(finish, T.StructType(fields)).withColumn(id_col, F.nullif(id_col, F.lit(NO_ID)))
 
 
 def digest(deduped: DataFrame) -> DataFrame:

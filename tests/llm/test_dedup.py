@@ -95,6 +95,16 @@ def test_jaccard_join(docs, rows, group):
     assert sorted(map(tuple, found)) == wanted
 
 
+def test_rows_without_an_id(spark):
+    a, b = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    docs = spark.createDataFrame([(None, a, 1), (7, a, 1), (None, b, 1), (None, None, 1), (8, b + " x", 1)], SCHEMA)
+    joined = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs).select("doc_id", "n_shingles", "component_id").collect()}
+    assert joined == {(None, 37, 7), (7, 37, 7), (None, 37, None), (None, 0, None), (8, 38, 8)}
+    removed = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in suffix_dedup.suffix_dedup(docs).collect())
+    assert removed == sorted([("7", len(a), 0), ("8", len(b) + 2, 0), ("None", len(a), len(a)), ("None", len(b), len(b)), ("None", 0, 0)])
+    assert sorted((r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(docs, ["doc_id"]).collect()) == [(0, 0), (40, 40), (40, 40), (40, 40), (41, 40)]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert not substring_dedup.substring_dedup(none, ["doc_id", "lang"]).collect()
