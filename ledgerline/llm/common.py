@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block; one longer document makes a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Most buckets of a table of blocks (Spark's own limit is 100,000).
 MAX_BUCKETS = 50_000
 
