@@ -29,7 +29,7 @@ from ledgerline.llm.common import materialize
 CAPACITY = 2048
 TERMINATOR = 0
 #: Distinct words whose ids one Python worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 250_000
 #: Pieces whose ranks one window task assigns.
 RANK_BUCKET = 20_000
 
