@@ -30,40 +30,74 @@ WINDOW, SURGE = 3, 86
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead title tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NO_TEXT = frozenset("aside audio button canvas datalist dialog footer form head iframe menu nav noscript object search select svg template video".split())
+#: Those of them that are boilerplate by what they hold, so that they may turn out to hold the main text.
+_SOFT = frozenset("aside dialog footer form menu nav search".split())
 _RAW = "script|style|textarea|title|xmp|noembed|noframes"
 _ARTICLE = frozenset(("article", "main"))
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|sidebars?|side|comments?|commentlist|disqus|replies|cookies?|consent|gdpr|notices?|alerts?|banners?|popups?|modals?|overlay|shar(?:e|ing)|social|breadcrumbs?|related|recommended|newsletter|subscri\w*|login|signup|menus?|nav\w*|footer|masthead|toolbar|widgets?|pagination|pager|copyright|disclaimer|skip)(?:$|[\s_-])",
-    re.I,
-)
+# A class or id token is boilerplate if each of its words says so or only says what kind of box it is.
+_NAME = r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|sidebars?|side|comments?|commentlist|disqus|replies|cookies?|consent|gdpr|notices?|alerts?|banners?|popups?|modals?|overlay|shar(?:e|ing)|social|breadcrumbs?|related|recommended|newsletter|subscri\w*|login|signup|menus?|nav(?:bar|igation)?|footer|masthead|toolbar|widgets?|pagination|pager|copyright|disclaimer|skip)"
+_BOX = r"(?:area|bar|block|bottom|box|buttons?|col(?:umn)?|container|content|form|global|group|header|inner|items?|left|links?|list|outer|panel|primary|right|secondary|section|site|slot|sticky|top|unit|wrap(?:per)?|\d+)"
+_NAMES = re.compile(rf"(?=.*(?:^|[_-]){_NAME}(?:$|[_-]))(?:{_NAME}|{_BOX})(?:[_-]+(?:{_NAME}|{_BOX}))*", re.I)
+# Optional end tags: what an element's start ends, and what such an end does not reach across.
+_SIBLINGS = {"li": (("li",), ("ul", "ol", "menu", "dir", "table"))} | {t: (("dd", "dt"), ("dl", "table")) for t in ("dd", "dt")} | {t: (("td", "th"), ("tr", "table")) for t in ("td", "th")} | {"tr": (("tr",), ("table",))} | {t: (("tbody", "thead", "tfoot"), ("table",)) for t in ("tbody", "thead", "tfoot")}
+_SCOPE = frozenset("caption table td th".split())
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|$)|<!\[CDATA\[|<[!?][^>]*(?:>|$)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
-def _boilerplate(tag: str, more: str, inside: bool) -> bool:
-    if tag in _NO_TEXT or tag == "header" and not inside:
-        return True
+def _boilerplate(tag: str, more: str, inside: bool) -> str:
+    """What speaks against an element: "never" shown as text, its "kind", its "name", or nothing."""
+    if tag in _NO_TEXT and tag not in _SOFT:
+        return "never"
+    kind = "kind" if tag in _SOFT or tag == "header" and not inside else ""
     if tag in _ARTICLE or tag in ("html", "body") or not more.strip():
-        return False
+        return kind
     for name, *values in _ATTRIBUTE.findall(more):
         name, value = name.lower(), "".join(values)
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in _ROLES or name in ("class", "id") and _NAMES.search(value):
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return "never"
+        if name == "role" and value.lower() in _ROLES:
+            kind = "kind"
+        elif name in ("class", "id") and not kind and any(map(_NAMES.fullmatch, value.split())):
+            kind = "name"
+    return "name" if kind and tag == "form" else kind
 
 
 def page_lines(page: str) -> list[dict]:
-    """The page's blocks as {text, inside, plain}: inside an article; plain: not boilerplate."""
-    out: list[dict] = []
+    """The page's blocks as {text, article, plain}: the outermost article around it (-1 for none);
+    plain: not boilerplate. An element that its kind or name marks as boilerplate counts as none if
+    it holds main or the longest article, one that its name marks also if it holds most of the
+    text of a page that has no article outside it."""
+    lines: list[tuple[str, int]] = []  # text, and the innermost marked element around it
+    marks: list[tuple[str, str, int]] = []  # tag, what speaks against it, the marked element around it
+    stack: list[tuple[str, int]] = []  # open elements, and the innermost marked element from there
+    count: dict[str, int] = {}
     parts: list[str] = []
-    depth, skipped, skip_depth, at = 0, "", 0, 0
+    at = depth = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append({"text": text, "inside": depth > 0, "plain": not skipped})
+            lines.append((text, stack[-1][1] if stack else -1))
+
+    def end(tags: tuple[str, ...], stops: frozenset[str] | tuple[str, ...]) -> None:
+        """Ends the innermost open element of tags, with all in it, unless one of stops is around first."""
+        nonlocal depth
+        if not any(count.get(t) for t in tags):
+            return
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in tags:
+                if stack[-1][1] != (stack[k - 1][1] if k else -1):
+                    flush()
+                for t, _ in stack[k:]:
+                    count[t] -= 1
+                    depth -= t in _ARTICLE
+                del stack[k:]
+                return
+            if stack[k][0] in stops:
+                return
 
     for m in _TOKEN.finditer(page):
         parts.append(page[at : m.start()])
@@ -74,36 +108,68 @@ def page_lines(page: str) -> list[dict]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in _BLOCKS or tag in _NO_TEXT or skipped:
+        block = tag in _BLOCKS or tag in _NO_TEXT
+        if block:
             flush()
         if m["end"]:
-            if tag == skipped:
-                skip_depth -= 1
-                skipped = skipped if skip_depth else ""
-            elif tag in _ARTICLE and not skipped:
-                depth = max(0, depth - 1)
-        elif skipped == "p" and tag in _BLOCKS:  # a paragraph ends where the next block begins
-            skipped, skip_depth = "", 0
-        if m["end"] or tag in _VOID or m["more"].endswith("/") and tag not in _BLOCKS:
+            end((tag,), _SIBLINGS[tag][1] if tag in _SIBLINGS else ("table",) if tag in ("table", "caption") else _SCOPE if block else _BLOCKS)
             continue
-        if skipped:
-            skip_depth += tag == skipped
-        elif _boilerplate(tag, m["more"], depth > 0):
+        if tag in _BLOCKS:  # a paragraph ends where the next block begins
+            end(("p",), _SCOPE)
+        if tag in _SIBLINGS:
+            end(*_SIBLINGS[tag])
+        if tag in _VOID or m["more"].endswith("/") and tag not in _BLOCKS:
+            continue
+        against, above = _boilerplate(tag, m["more"], depth > 0), stack[-1][1] if stack else -1
+        if against or tag in _ARTICLE:
             flush()
-            skipped, skip_depth = tag, 1
-        elif tag in _ARTICLE:
-            depth += 1
+            marks.append((tag, against, above))
+            above = len(marks) - 1
+        stack.append((tag, above))
+        count[tag] = count.get(tag, 0) + 1
+        depth += tag in _ARTICLE
     parts.append(page[at:])
     flush()
-    return out
+    return _judged(lines, marks)
+
+
+def _judged(lines: list[tuple[str, int]], marks: list[tuple[str, str, int]]) -> list[dict]:
+    size, never = [0] * len(marks), []
+    for _, against, above in marks:
+        never.append(against == "never" or above >= 0 and never[above])
+    total = 0
+    for text, k in lines:
+        if k < 0 or not never[k]:
+            total += len(text)
+            if k >= 0:
+                size[k] += len(text)
+    for k in range(len(marks) - 1, -1, -1):
+        if marks[k][2] >= 0:
+            size[marks[k][2]] += size[k]
+    articles = [k for k, (tag, _, _) in enumerate(marks) if tag in _ARTICLE and size[k] and not never[k]]
+    longest = max((size[k] for k in articles), default=0)
+    holds, inner = [0] * len(marks), [False] * len(marks)  # articles in an element, and whether the chief one is
+    for k in articles:
+        holds[k], inner[k] = 1, marks[k][0] == "main" or size[k] == longest
+    for k in range(len(marks) - 1, -1, -1):
+        if (above := marks[k][2]) >= 0:
+            holds[above] += holds[k]
+            inner[above] |= inner[k]
+    skipped, article = [], []
+    for k, (tag, against, above) in enumerate(marks):
+        kept = not against or against != "never" and (inner[k] or against == "name" and 2 * size[k] > total and holds[k] == len(articles))
+        skipped.append(not kept or above >= 0 and skipped[above])
+        around = article[above] if above >= 0 else -1
+        article.append(k if around < 0 and tag in _ARTICLE else around)
+    return [{"text": text, "article": article[k] if k >= 0 else -1, "plain": k < 0 or not skipped[k]} for text, k in lines]
 
 
 def between_surge_and_dive(lines: list[dict], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines of main text: those in a window whose text lengths sum to the threshold."""
     if not lines:
         return []
-    marked = any(x["inside"] and x["plain"] for x in lines)
-    lengths = np.array([len(x["text"]) if x["plain"] and (x["inside"] or not marked) else 0 for x in lines], np.int64)
+    marked = any(x["article"] >= 0 and x["plain"] for x in lines)
+    lengths = np.array([len(x["text"]) if x["plain"] and (x["article"] >= 0 or not marked) else 0 for x in lines], np.int64)
     sums = np.convolve(lengths, np.ones(window, np.int64))  # sums[i]: of the window that ends at line i
     high = sums >= (1 if marked else surge)
     between = np.convolve(high, np.ones(window, np.int64))[window - 1 : window - 1 + len(lengths)] > 0
