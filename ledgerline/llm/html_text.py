@@ -1,11 +1,12 @@
 """HTML extraction by line-block distribution.
 
 A small helper strips the markup of a page into lines, one for each block element, and says of
-each whether it stands inside the article and whether an element around it (menu, header, footer,
-sidebar, notice, advert, form, comments) is no main text. Text lengths are summed over sliding
-windows of lines; a line where the sum surges over the threshold opens the main text, one where
-it dives below closes it, and everything between stays. Lines of such elements count as empty. Inside an article element the threshold is zero, so its short
-lines stay; a page without one needs lines of some length.
+each which article it stands in and whether an element around it (menu, header, footer, sidebar,
+notice, advert, form, comments) is no main text; lines of such elements count as empty. Weights
+are summed over sliding windows of all other lines; a line where the sum surges over the threshold
+opens main text, one where it dives below closes it, and everything between stays. A line weighs
+its length. As far as articles hold the page's text, a line of an article weighs more, so that
+short ones stay, and one outside weighs less; a page without an article needs lines of some length.
 
 Defined cases: null or empty html gives empty text; markup that is cut off or never closed ends
 with the page; equal pages give equal text; an empty table gives no rows; extra columns are
@@ -22,8 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lines in a sliding window, and the characters that a window of main text has at least where no
-#: element marks the article.
+#: Lines in a sliding window, and the weight that a window of main text has at least.
 WINDOW, SURGE = 3, 86
 
 # Fixed values of HTML: elements by what they mean for the text.
@@ -165,15 +165,27 @@ def _judged(lines: list[tuple[str, int]], marks: list[tuple[str, str, int]]) ->
 
 
 def between_surge_and_dive(lines: list[dict], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines of main text: those in a window whose text lengths sum to the threshold."""
+    """The plain lines in a window whose weights sum to the threshold. A line weighs its length; the
+    larger the articles' share of the text, the more a line of an article weighs and the less one
+    outside. An article much shorter than the longest counts as outside in that measure."""
     if not lines:
         return []
-    marked = any(x["article"] >= 0 and x["plain"] for x in lines)
-    lengths = np.array([len(x["text"]) if x["plain"] and (x["article"] >= 0 or not marked) else 0 for x in lines], np.int64)
-    sums = np.convolve(lengths, np.ones(window, np.int64))  # sums[i]: of the window that ends at line i
-    high = sums >= (1 if marked else surge)
-    between = np.convolve(high, np.ones(window, np.int64))[window - 1 : window - 1 + len(lengths)] > 0
-    return [x["text"] for x, b, n in zip(lines, between, lengths, strict=True) if b and n]
+    plain = np.array([x["plain"] for x in lines])
+    lengths = np.where(plain, [len(x["text"]) for x in lines], 0).astype(float)
+    place = np.array([x["article"] for x in lines]) + 1
+    size = np.bincount(place, lengths)
+    size[0] = 0
+    share = size.sum() / max(1.0, lengths.sum())
+    likely = (size / max(1.0, size.max()))[place]
+    weights = np.where(plain, lengths * (1 - share * (1 - likely)) + surge * share * likely, 0)
+    # no window reaches across an article's border
+    at = np.arange(len(lines)) + (window - 1) * np.concatenate([[0], np.cumsum(np.diff(place) != 0)])
+    spread = np.zeros(at[-1] + 1)
+    spread[at] = weights
+    sums = np.convolve(spread, np.ones(window))  # sums[i]: of the window that ends at place i
+    high = sums >= surge - 1e-6
+    between = np.convolve(high, np.ones(window, np.int64))[window - 1 : window - 1 + len(spread)] > 0
+    return [x["text"] for x, b, n in zip(lines, between[at], plain, strict=True) if b and n]
 
 
 def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, surge: int = SURGE) -> DataFrame:

@@ -27,3 +27,20 @@ def test_named_boxes_beside_the_text_go():
 @pytest.mark.parametrize("page", ["<article><ul><li class=ad>bad<li>{0}</ul><p>{0}</article>", "<article><ul><li>{0}<li class=ad>bad</ul><p>{0}</article>", "<article><dl><dt>{0}<dd class=ad>bad</dl>{0}</article>", "<article><table><tr><td class=ad>bad<td>{0}<tr class=ad><td>bad</table>{0}</article>"])
 def test_a_skipped_element_ends_without_its_end_tag(page):
     assert _text(page.format(LONG)) == [LONG, LONG]
+
+
+def test_lines_outside_a_teaser_card_are_decided_on_too():
+    story = [f"{k} {LONG}" for k in range(6)]
+    assert _text("<article class=card>Teaser</article>" + "".join(f"<div>{x}</div>" for x in story)) == story
+
+
+def test_surge_decides_beside_an_article():
+    page = f"<article><h1>Head</h1>{'<p>' + LONG:s}<p>{LONG}<p>End</article><div>Tail</div><div>" + "</div><div>".join([LONG * 4] * 3) + "</div>"
+    assert _text(page) == ["Head", LONG, LONG, "End", "Tail", LONG * 4, LONG * 4, LONG * 4]
+    assert _text(f"<article><h1>Head</h1><p>{LONG}<p>End</article><div>Tail</div>") == ["Head", LONG, "End"]
+
+
+def test_short_articles_beside_the_longest_count_less():
+    assert _text(f"<article><p>{LONG * 5}<p>End</article><div>x</div><article>Card</article>") == [LONG * 5, "End"]
+    posts = [f"<article><h2>{k}</h2><p>{LONG}</article>" for k in range(3)]
+    assert _text("".join(posts)) == ["0", LONG, "1", LONG, "2", LONG]
