@@ -26,13 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from xxhash import xxh3_64_intdigest
 
 from ledgerline.llm.common import ask, column, each_block, owners, pack, text_blocks, total_bytes, unpack, with_replies
-from ledgerline.llm.rolling import _INVERSE, byte_prefix, mix, powers, text_buffer
+from ledgerline.llm.rolling import text_buffer
 
 BLOCK = 8 << 20
 #: Words whose ids and text are laid out at a time.
 PART = 200_000
+#: Names of the results; columns so named are not carried.
+MADE = ("n_tokens", "ids", "decoded")
 _loaded: dict = {}
 
 
@@ -65,10 +68,7 @@ class _Words:
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         coded = lists.flatten().dictionary_encode()
         words, which = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-        data, offsets = text_buffer(words)
-        h = byte_prefix(data)
-        mixed = mix((h[offsets[1:]] - h[offsets[:-1]]) * powers(_INVERSE, len(h))[offsets[:-1]])
-        owner = (mixed % np.uint64(self.n_owners)).astype(np.int64)
+        owner = np.array([xxh3_64_intdigest(w) % self.n_owners for w in words.to_pylist()], np.int64)
         order = np.argsort(owner, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -126,10 +126,11 @@ def bpe_round_trip(docs: DataFrame, columns: list[str], path: str, text: str = "
     """`columns` of each document, n_tokens, ids (binary: little-endian unsigned 32-bit integers)
     and decoded (the pieces of the ids, joined by one space, as the tokenizer without decoder does)."""
     spark = docs.sparkSession
-    others = [c for c in columns if c != "text"]
+    others = [c for c in dict.fromkeys(columns) if c not in (text, "text") and c.lower() not in MADE]
     blocks = text_blocks(docs.select(*others, F.col(text).alias("text")), [*others, "text"], "text", BLOCK)
-    words = _Words(path, owners(spark, total_bytes(blocks) // 24, 500_000))
-    told = with_replies(blocks, ask(blocks, words.request, words.answer))
+    size = total_bytes(blocks)
+    words = _Words(path, owners(spark, size // 24, 500_000))
+    told = with_replies(blocks, ask(blocks, size, words.request, words.answer))
     fields = [*(docs.schema[c] for c in others), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
     schema = to_arrow_schema(T.StructType(fields))
 

@@ -25,25 +25,59 @@ from pyspark.sql import functions as F
 
 #: Bytes of text in a block; one longer document makes a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Rows of a block at most, so that block and place fit in one number (see row_key).
+BLOCK_ROWS = 1 << 16
+#: Bytes of text for each task that answers questions.
+TASK_BYTES = 32 << 20
 #: Most buckets of a table of blocks (Spark's own limit is 100,000).
 MAX_BUCKETS = 50_000
 
 
+#: Folders made by the running applications, by application.
+_made: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is
-    unset (tests, a single machine) a temporary folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset on a
+    single machine (tests), a temporary folder; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir: names no folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path of the shared folder for one intermediate table; `release` removes it."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def made_so_far(spark: SparkSession) -> int:
+    """A mark for `release`."""
+    return len(_made.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, since: int = 0, keep: list[str] | None = None) -> None:
+    """Removes the intermediate tables made since a mark, but for `keep`. Frames that read them can't
+    be used any more: write an operator's result first."""
+    made = _made.get(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in made[since:]:
+        if path not in (keep or ()):
+            where = hadoop(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    made[since:] = [p for p in made[since:] if p in (keep or ())]
+
+
 def materialize(df: DataFrame, packed: bool = False) -> DataFrame:
     """Writes df to the shared folder and reads it again. This cuts the lineage: a lost
     executor costs the tasks that it ran, not the stages before. packed: already compressed."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.option("compression", "none" if packed else "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -93,9 +127,9 @@ def text_blocks(docs: DataFrame, columns: list[str], text: str, block_bytes: int
     spark = docs.sparkSession
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << 24
         held: list[pa.RecordBatch] = []
-        size = 0
+        size = rows = 0
 
         def row() -> pa.RecordBatch:
             whole = pa.Table.from_batches(held).combine_chunks()  # rows stay in one chunk
@@ -107,13 +141,15 @@ def text_blocks(docs: DataFrame, columns: list[str], text: str, block_bytes: int
             while first < batch.num_rows:
                 base = int(ends[first - 1]) if first else 0
                 last = max(first if held else first + 1, int(np.searchsorted(ends, base + block_bytes - size, side="right")))
+                last = min(last, first + BLOCK_ROWS - rows)
                 if last > first:
                     held.append(batch.slice(first, last - first))
                     size += int(ends[last - 1]) - base
+                    rows += last - first
                 if last < batch.num_rows:
                     yield row()
                     block += 1
-                    held, size = [], 0
+                    held, size, rows = [], 0, 0
                 first = last
         if held:
             yield row()
@@ -122,12 +158,19 @@ def text_blocks(docs: DataFrame, columns: list[str], text: str, block_bytes: int
     name = f"blocks_{uuid.uuid4().hex}"
     made = picked.mapInArrow(blocks, "block long, n_rows long, n_bytes long, payload binary")
     n = min(partitions(spark), MAX_BUCKETS)
-    made.write.format("parquet").bucketBy(n, "block").option("compression", "none").option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    made.write.format("parquet").bucketBy(n, "block").option("compression", "none").option("path", new_folder(spark)).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay, and the frame knows them
+    return found
+
 
+def row_key(block, place):
+    """One number for a row of a block."""
+    return (block << 16) | place
 
-def ask(blocks: DataFrame, request: Callable[..., Iterator[tuple[int, bytes]]], answer: Callable[[list[int], list[bytes]], list[bytes]]) -> DataFrame:
-    """One round of questions. request(documents) of a block gives (owner, keys) pairs;
+
+def ask(blocks: DataFrame, size: int, request: Callable[..., Iterator[tuple[int, bytes]]], answer: Callable[[list[int], list[bytes]], list[bytes]]) -> DataFrame:
+    """One round of questions about `size` bytes of text. request(documents) of a block gives (owner, keys) pairs;
     answer(blocks, keys) of one owner gives an answer to each. Returns rows (block, owner, reply).
     If `blocks` has a column `replies` (earlier replies), request(documents, replies) is called.
     A pair with the owner NOTE is a block's note to itself, which comes back unchanged."""
@@ -148,7 +191,8 @@ def ask(blocks: DataFrame, request: Callable[..., Iterator[tuple[int, bytes]]],
         return pa.table({"block": group.column("block"), "owner": group.column("owner"), "reply": pa.array(replies, pa.binary())})
 
     asked = blocks.mapInArrow(ask_all, "block long, owner int, keys binary")
-    return asked.groupBy("owner").applyInArrow(answer_all, "block long, owner int, reply binary")
+    tasks = max(blocks.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    return asked.repartition(tasks, "owner").groupBy("owner").applyInArrow(answer_all, "block long, owner int, reply binary")
 
 
 def each_block(batches: Iterator[pa.RecordBatch], told: bool) -> Iterator[tuple[int, pa.Table, dict[int, bytes] | None]]:
@@ -176,16 +220,9 @@ def total_bytes(blocks: DataFrame) -> int:
 
 def shares(hashes: np.ndarray, n_owners: int) -> Iterator[tuple[int, slice]]:
     """The owners of hashes in ascending order, with the share of each. Owners hold ranges of hashes."""
-    cuts = np.array([(k << 64) // n_owners for k in range(1, n_owners)], np.uint64)
-    starts = [0, *np.searchsorted(hashes, cuts).tolist(), len(hashes)]
-    return ((k, slice(starts[k], starts[k + 1])) for k in range(n_owners) if starts[k] < starts[k + 1])
-
-
-def contained(x: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Which elements of x are in values (ascending)."""
-    if not len(values):
-        return np.zeros(len(x), bool)
-    return values[np.minimum(np.searchsorted(values, x), len(values) - 1)] == x
+    owner = ((hashes >> np.uint64(32)) * np.uint64(n_owners)) >> np.uint64(32)
+    edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else [0]
+    return ((int(owner[a]), slice(int(a), int(b))) for a, b in zip(edges[:-1], edges[1:], strict=True))
 
 
 def bits(flags: np.ndarray) -> bytes:
@@ -196,13 +233,17 @@ def flags(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
-def repeated_in(kind: type) -> Callable[[list[int], list[bytes]], list[bytes]]:
-    """An owner's answer to keys of one kind: which of them did several blocks send?"""
+def repeated_in(kind: type, lanes: int = 1) -> Callable[[list[int], list[bytes]], list[bytes]]:
+    """An owner's answer to distinct keys of one kind: which of them did several blocks send?"""
 
     def answer(blocks: list[int], asked: list[bytes]) -> list[bytes]:
-        parts = [np.frombuffer(x, kind) for x in asked]
-        every = np.sort(np.concatenate([np.unique(x) for x in parts]))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
-        return [bits(contained(x, twice)) for x in parts]
+        parts = [np.frombuffer(x, kind).reshape(-1, lanes) for x in asked]
+        keys = np.concatenate(parts)
+        order = np.lexsort(keys.T[::-1])
+        same = (keys[order][1:] == keys[order][:-1]).all(1)
+        twice = np.zeros(len(keys), bool)
+        twice[order[1:]] = same
+        twice[order[:-1]] |= same
+        return [bits(x) for x in np.split(twice, np.cumsum([len(p) for p in parts])[:-1])]
 
     return answer

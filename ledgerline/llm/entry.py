@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import bpe, chroma, html_text, jaccard_join, langid, packing, substring_dedup, suffix_dedup, topk, toxicity
+from ledgerline.llm.entry_sql import SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,4 +60,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -1,32 +1,27 @@
-"""Hashes of all windows of a block of texts, by array operations.
-
-A prefix hash is a running sum of a random value for each byte times a power of an odd number,
-modulo 2**64. A window's hash is a difference of two prefixes, divided by the power at its
-start, and mixed. Equal windows have equal hashes wherever they stand.
+"""Keys of all windows of a block of texts, by array operations.
+
+A key is one or two independent numbers of 64 bits (lanes). A word's comes from a keyed
+cryptographic hash of its bytes. A longer window's is made of the keys of two windows that cover
+it, by multiplying and shifting rounds that are no ring operation, level by level; so no pattern of
+letters or words makes different windows meet, as it does with a polynomial of a fixed modulus. Equal
+windows have equal keys wherever they stand. Two lanes are 128 bits: among the 1.7e13 windows of 100 TB
+the expected number of different ones with equal keys is 4e-13.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_VALUES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2**64."""
-    if base not in _powers or len(_powers[base]) < n:
-        steps = np.full(max(n, 1 << 20), base, np.uint64)
-        steps[0] = 1
-        _powers[base] = np.multiply.accumulate(steps)
-    return _powers[base][:n]
+_KEY = b"windows of words"
+#: What is added before each of the two mixing rounds, by lane.
+_SALTS = [[np.uint64(x) for x in row] for row in np.random.default_rng(20240229).integers(1 << 62, 1 << 63, (2, 2), dtype=np.uint64)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,6 +34,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def pair(x: np.ndarray, y: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Key of what the keys x and y cover, in this order."""
+    h = mix(y + _SALTS[lane][0])
+    h ^= x
+    h += _SALTS[lane][1]
+    return mix(h)
+
+
+def doubled(h: np.ndarray, length: int, lane: int = 0, done: int = 1) -> np.ndarray:
+    """Keys of all windows of `length` places, from those of `done` places."""
+    while done < length:
+        step = min(done, length - done)
+        if len(h) <= step:
+            return h[:0]
+        h = pair(h[:-step], h[step:], lane)
+        done += step
+    return h
+
+
+def distinct_keys(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct keys (n x lanes) in ascending order, the first place of each, which of them
+    every place has, and how often each occurs."""
+    order = np.argsort(a, kind="stable") if b is None else np.lexsort((b, a))
+    keys = a[order][:, None] if b is None else np.stack([a[order], b[order]], 1)
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[1:] != keys[:-1]).any(1)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return keys[new], order[new], which, np.diff(np.append(np.flatnonzero(new), len(order)))
+
+
 def text_buffer(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after the other, and where each starts (one number more)."""
     a = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
@@ -51,17 +77,43 @@ def text_buffer(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarr
     return d, o - o[0]
 
 
-def byte_prefix(data: np.ndarray) -> np.ndarray:
-    h = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * powers(_BASE, len(data)), out=h[1:])
-    return h
-
-
-def byte_windows(h: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the window of that many bytes at every place where one fits."""
-    if len(h) <= length:
-        return np.zeros(0, np.uint64)
-    return mix((h[length:] - h[:-length]) * powers(_INVERSE, len(h) - length))
+def slices(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """The byte strings data[first:last] as one array."""
+    lengths = last - first
+    ends = np.cumsum(lengths)
+    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[place]))])
+
+
+class Bytes:
+    """Keys of the byte windows of a text buffer; a window has a multiple of 8 bytes or any number from 32 up."""
+
+    def __init__(self, data: np.ndarray):
+        n = max(0, len(data) - 7)
+        self._eight = np.ndarray((n,), "<u8", np.ascontiguousarray(data), 0, (1,)).copy() if n else np.zeros(0, np.uint64)
+
+    def windows(self, length: int) -> np.ndarray:
+        """Key of the window of 16 or 32 bytes at every place."""
+        h, done = self._eight, 8
+        while done < length:
+            h = pair(h[:-done], h[done:]) if len(h) > done else h[:0]
+            done *= 2
+        return h
+
+    def spans(self, first: np.ndarray, last: np.ndarray, lane: int) -> np.ndarray:
+        """Keys of data[first:last], of 32 bytes at least."""
+        e = self._eight
+        out = mix((last - first).astype(np.uint64))
+        at = first.copy()
+        while True:
+            some = np.flatnonzero(at < last)
+            if not len(some):
+                return out
+            p = np.minimum(at[some], last[some] - 32)
+            piece = pair(pair(e[p], e[p + 8], lane), pair(e[p + 16], e[p + 24], lane), lane)
+            out[some] = pair(out[some], piece, lane)
+            at += 32
 
 
 class Words:
@@ -84,29 +136,34 @@ class Words:
         self.start, self.end = np.flatnonzero(starts), np.flatnonzero(solid & ~after) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        # the hash runs over the words' bytes and one empty place before each word
-        lengths = self.end - self.start
-        ends = np.cumsum(lengths + 1)
-        self._at = ends - lengths
         kept = data[solid]
-        place = np.arange(len(kept)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)
-        h = np.zeros(len(kept) + 1, np.uint64)
-        np.cumsum(_VALUES[_LOWER[kept] if lower else kept] * powers(_BASE, len(kept) + len(lengths) + 1)[place], out=h[1:])
-        self._to = np.cumsum(lengths)
-        self._h = h
-
-    def spans(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hashes of the word sequences from word `first` to word `last`, both included."""
-        lengths = self.end[first] - self.start[first]
-        raw = self._h[self._to[last]] - self._h[self._to[first] - lengths]
-        return mix(raw * powers(_INVERSE, int(self._at[-1]) + 1)[self._at[first]]) if len(first) else np.zeros(0, np.uint64)
-
-    def windows(self, length: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """First words of the windows of that many words (those of `at` only), and their hashes."""
+        ends = np.concatenate([[0], np.cumsum(self.end - self.start)]).astype(np.int64)
+        self._coded = pa.Array.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(ends), pa.py_buffer(_LOWER[kept] if lower else kept)]).dictionary_encode()
+        self._lanes: np.ndarray | None = None
+
+    def lane(self, k: int) -> np.ndarray:
+        """A lane of each word's key."""
+        if self._lanes is None:
+            digests = b"".join(blake2b(w, digest_size=16, key=_KEY).digest() for w in self._coded.dictionary.to_pylist())
+            self._lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        return self._lanes[:, k][self._coded.indices.to_numpy(zero_copy_only=False)] if len(self.start) else np.zeros(0, np.uint64)
+
+    def windows(self, length: int, at: np.ndarray | None = None, lanes: int = 1) -> tuple[np.ndarray, ...]:
+        """First words of the windows of that many words (those of `at` only), and their keys, lane by lane."""
         at = np.arange(len(self.start)) if at is None else at
         at = at[at + length <= len(self.start)]
         at = at[self.text[at] == self.text[at + length - 1]]
-        return at, self.spans(at, at + length - 1)
+        return at, *(doubled(self.lane(k), length, k)[at] for k in range(lanes))
+
+    def wholes(self, texts: np.ndarray, lane: int = 0) -> np.ndarray:
+        """Keys of all words of each of these (short) texts, by their number of words."""
+        first, n = self.first[texts], np.diff(self.first)[texts]
+        words = self.lane(lane)
+        out = words[first]
+        for k in range(1, int(n.max(initial=0))):
+            some = np.flatnonzero(n > k)
+            out[some] = pair(out[some], words[first[some] + k], lane)
+        return mix(out ^ mix(n.astype(np.uint64)))
 
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:

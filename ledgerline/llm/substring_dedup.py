@@ -5,12 +5,12 @@ one right after it too, the two are joined to a window of twice the length, and
 wanted length (the last step joins two overlapping windows). A window whose part is unique
 cannot be repeated, so each level looks at the survivors of the one before only.
 
-Levels before the last compare 32 bits of a hash beside the owner's share, which may keep a
-unique window as a candidate; the last level compares 64 bits.
+Levels before the last compare 32 bits of a key beside the owner's share, which may keep a
+unique window as a candidate; the last level compares keys of 128 bits (see rolling).
 
 Defined cases: null and empty text, or text of fewer words than a window, loses nothing;
 repeated rows are documents of their own, so their windows are repeated; an empty table gives
-no rows; columns not asked for are ignored.
+no rows; columns not asked for are ignored, and so are those named like one of the results.
 """
 
 from __future__ import annotations
@@ -25,9 +25,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.common import NOTE, ask, bits, each_block, flags, owners, repeated_in, shares, text_blocks, total_bytes, with_replies
-from ledgerline.llm.rolling import Words, covered, text_buffer
+from ledgerline.llm.rolling import Words, covered, distinct_keys, text_buffer
 
 WORDS = 35
+#: Names of the results.
+MADE = ("kept", "n_words", "n_removed")
 
 
 def levels(length: int, start: int = 9) -> list[int]:
@@ -44,14 +46,15 @@ class _Levels:
     def __init__(self, length: int, n_owners: int, text: str):
         self.steps, self.n_owners, self.text = levels(length), n_owners, text
 
-    def kind(self, k: int) -> type:
-        return np.uint64 if k == len(self.steps) - 1 else np.uint32
+    def kind(self, k: int) -> tuple[type, int]:
+        """Type and lanes of the keys that a level sends."""
+        return (np.uint64, 2) if k == len(self.steps) - 1 else (np.uint32, 1)
 
     def words(self, documents: pa.Table) -> Words:
         return Words(*text_buffer(documents.column(self.text)))
 
     def windows(self, words: Words, k: int, before: np.ndarray | None) -> tuple[np.ndarray, ...]:
-        """First words of the windows that may be repeated, their distinct hashes, which hash each has,
+        """First words of the windows that may be repeated, their distinct keys, which of them each has,
         and how often it is in the block. before: words where a window of the last level is repeated."""
         at = None
         if k:
@@ -59,14 +62,15 @@ class _Levels:
             at = np.flatnonzero(before)
             at = at[at + ahead < len(before)]
             at = at[before[at + ahead]]
-        at, h = words.windows(self.steps[k], at)
-        return at, *np.unique(h, return_inverse=True, return_counts=True)
+        at, *h = words.windows(self.steps[k], at, self.kind(k)[1])
+        keys, _, which, count = distinct_keys(*h)
+        return at, keys, which, count
 
     def repeated(self, words: Words, k: int, replies: dict[int, bytes]) -> np.ndarray:
         """For each word, whether the window of level k that starts there occurs elsewhere too."""
         at, distinct, which, count = self.windows(words, k, flags(replies[NOTE], len(words.start)) if k else None)
         there = count > 1
-        for owner, share in shares(distinct, self.n_owners):
+        for owner, share in shares(distinct[:, 0], self.n_owners):
             there[share] |= flags(replies[owner], share.stop - share.start)
         out = np.zeros(len(words.start), bool)
         out[at[there[which]]] = True
@@ -80,8 +84,8 @@ class _Levels:
                 before = self.repeated(words, k - 1, replies)
                 yield NOTE, bits(before)
             distinct = self.windows(words, k, before)[1]
-            for owner, share in shares(distinct, self.n_owners):
-                yield owner, distinct[share].astype(self.kind(k)).tobytes()
+            for owner, share in shares(distinct[:, 0], self.n_owners):
+                yield owner, distinct[share].astype(self.kind(k)[0]).tobytes()
 
         return of
 
@@ -104,13 +108,14 @@ def substring_dedup(docs: DataFrame, columns: list[str], text: str = "text", len
     n_words and n_removed. A word goes if a window of `length` words that covers it also starts
     at any other place of the corpus."""
     spark = docs.sparkSession
-    blocks = text_blocks(docs, list(dict.fromkeys([*columns, text])), text)
+    others = [c for c in dict.fromkeys(columns) if c != text and c.lower() not in MADE]
+    blocks = text_blocks(docs, [*others, text], text)
+    size = total_bytes(blocks)
     # about six bytes a word; an owner's share stays bounded even if every window is a key
-    level = _Levels(length, owners(spark, total_bytes(blocks) // 6), text)
+    level = _Levels(length, owners(spark, size // 6), text)
     told = blocks
     for k in range(len(level.steps)):
-        told = with_replies(blocks, ask(told, level.request(k), repeated_in(level.kind(k))))
-    others = [c for c in columns if c != text]
+        told = with_replies(blocks, ask(told, size, level.request(k), repeated_in(*level.kind(k))))
     fields = [docs.schema[c] for c in others] + [T.StructField("kept", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     schema = to_arrow_schema(T.StructType(fields))
 

@@ -1,24 +1,26 @@
 """Suffix-array dedup: bytes covered by a string of fixed length that also starts earlier.
 
 The collection of all documents is reduced, without loss, to what can repeat. Each window of
-`length` bytes has an anchor: its substring of GRAM bytes with the least hash (the leftmost
+`length` bytes has an anchor: its substring of GRAM bytes with the least key (the leftmost
 one). Equal windows have equal anchors at the same place, so an anchor that occurs once
 excludes its windows. What remains are contexts: an anchor with all bytes of the windows that
-have it. Equal contexts are compared as wholes. The different contexts of one anchor go through
-a column-wise multi-document construction: all contexts are aligned at their anchors, and each
-round inserts the next symbol to the left of every context at once, which updates the order of
-the collection's suffixes and their common prefixes. Suffixes in one column with a common prefix
-of `length` are equal windows.
-
-The construction's state (order and common prefixes of one column) is an array in a task that
+have it. All contexts of one anchor, equal or not, go through a column-wise multi-document
+construction: they are aligned at their anchors, and each round inserts the next symbol to the
+left of every context at once. The symbols in front of the sorted suffixes are the collection's
+Burrows-Wheeler transform at that column; sorting them stably gives the next column's order, and
+common prefixes follow from those before. Suffixes in one column with a common prefix of `length`
+are equal windows; all but the one of least (document, start) go.
+
+The construction's state (transform, order and common prefixes of one column) is an array in a task that
 owns a bounded batch of anchors, where the published method keeps sequential files; the batches
-are Spark's partitions. An anchor with more than HOT_CONTEXTS different contexts is not gathered:
-its windows are compared by their hashes, each in the task that owns it.
+are Spark's partitions. A block sends the different contexts that it has once each, so copies in one
+block cost one context. An anchor that the blocks have over HOT_CONTEXTS contexts of (hot) is not
+gathered: its windows are compared by their keys of 128 bits, each in the task that owns it.
 
 Defined cases: null and empty text, or text shorter than the window, loses nothing; repeated
 rows (also with one doc_id) are documents of their own, in some order, so all but one lose their
 windows; rows without an id come after all others; an empty table gives no rows; columns not asked
-for are ignored.
+for are ignored, and so are those named like one of the results.
 """
 
 from __future__ import annotations
@@ -32,19 +34,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerline.llm.common import NO_ID, NOTE, ask, bits, column, each_block, flags, owners, pack_columns, repeated_in, shares, text_blocks, total_bytes, unpack, with_replies
-from ledgerline.llm.rolling import _INVERSE, byte_prefix, byte_windows, covered, mix, powers, text_buffer
+from ledgerline.llm.common import NO_ID, NOTE, ask, bits, column, each_block, flags, owners, pack_columns, shares, text_blocks, total_bytes, unpack, with_replies
+from ledgerline.llm.rolling import Bytes, covered, distinct_keys, slices, text_buffer
 
 LENGTH = 100
 #: Bytes of an anchor.
 GRAM = 32
-#: Different contexts of one anchor that one task compares.
+#: Contexts of one anchor that one task compares.
 HOT_CONTEXTS = 50_000
 #: Contexts in one column-wise construction; one anchor's contexts stay together.
 BATCH = 100_000
+#: Names of the results.
+MADE = ("kept", "n_bytes", "n_removed", "n_spans")
 _LOW = np.uint64(0xFFFFFFFF)
-#: What is known of a context.
-UNIQUE, REPEATED, COMPARE, HOT = 0, 1, 2, 3
+#: What is known of an anchor.
+UNIQUE, REPEATED, HOT = 0, 1, 2
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -63,8 +67,8 @@ class Anchors:
     def __init__(self, documents: pa.Table, id_col: str, text: str, length: int):
         self.data, self.offsets = text_buffer(documents.column(text))
         self.doc_ids = column(documents, id_col)
-        self.h = byte_prefix(self.data)
-        grams = byte_windows(self.h, GRAM)
+        self.keys = Bytes(self.data)
+        grams = self.keys.windows(GRAM)
         n = len(grams)
         least = sliding_min((grams & ~_LOW) | np.arange(n, dtype=np.uint64), length - GRAM + 1)
         usable = np.repeat(self.offsets[1:] - length, np.diff(self.offsets))[: len(least)] >= np.arange(len(least))
@@ -81,18 +85,17 @@ class Anchors:
         self.start = self.first - self.offsets[text_of[at]]
         self.length = length
 
-    def contexts(self, some: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of the anchors `some`: one index for each different context (the earliest), and which
-        of those contexts each anchor has."""
-        low, high = self.first[some], self.last[some] + self.length
-        h = mix((self.h[high] - self.h[low]) * powers(_INVERSE, len(self.h))[low]) ^ mix((high - low).astype(np.uint64))
-        order = np.lexsort((self.start[some], self.doc[some], h, self.hash[some]))
-        new = np.ones(len(some), bool)
-        a, b = h[order], self.hash[some][order]
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        which = np.empty(len(some), np.int64)
-        which[order] = np.cumsum(new) - 1
-        return some[order[new]], h[order[new]], which
+    def contexts(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Of the anchors `some`: one for each different context (the earliest, ascending by anchor),
+        which of those contexts each anchor has, and their bytes."""
+        texts = slices(self.data, self.first[some], self.last[some] + self.length).dictionary_encode()
+        code = texts.indices.to_numpy(zero_copy_only=False)
+        order = np.lexsort((self.start[some], self.doc[some], code))
+        lead = order[np.flatnonzero(np.append(True, code[order][1:] != code[order][:-1]))] if len(some) else order
+        lead = lead[np.lexsort((lead, self.hash[some][lead]))]
+        place = np.empty(len(lead), np.int64)
+        place[code[lead]] = np.arange(len(lead))
+        return some[lead], place[code] if len(some) else order, texts.dictionary.take(pa.array(code[lead]))
 
 
 def earlier_windows(symbols: np.ndarray, rank: np.ndarray, length: int, columns: int) -> np.ndarray:
@@ -101,16 +104,17 @@ def earlier_windows(symbols: np.ndarray, rank: np.ndarray, length: int, columns:
     symbols from that column on.
 
     Column-wise: from the right, each round puts one more symbol in front of every suffix. Sorting
-    the suffixes by the new symbol, stably, keeps them in order; two neighbours with the same new
-    symbol share one symbol more than the least common prefix between their old places."""
+    the suffixes by the new symbol, stably, keeps them in order (this maps the transform's last column
+    to its first); two neighbours with the same new symbol share one symbol more than the least common
+    prefix between their old places."""
     n, width = symbols.shape
     order, common = np.arange(n), np.zeros(n, np.uint8)
     out = np.zeros((n, columns), bool)
     by_column = np.ascontiguousarray(symbols.T)
     for c in range(width - 1, -1, -1):
-        symbol = by_column[c][order]
-        moved = np.argsort(symbol, kind="stable")
-        sorted_symbol = symbol[moved]
+        bwt = by_column[c][order]
+        moved = np.argsort(bwt, kind="stable")
+        sorted_symbol = bwt[moved]
         same = np.zeros(n, bool)
         same[1:] = (sorted_symbol[1:] == sorted_symbol[:-1]) & (sorted_symbol[1:] >= 0)
         fresh = np.zeros(n, np.uint8)
@@ -144,81 +148,49 @@ class _Rounds:
     def anchors(self, documents: pa.Table) -> Anchors:
         return Anchors(documents, self.id_col, self.text, self.length)
 
-    # first question: does the anchor occur elsewhere?
+    # first question: does the anchor occur elsewhere, and in how many contexts?
     def ask_anchors(self, documents: pa.Table) -> Iterator[tuple[int, bytes]]:
-        distinct = np.unique(self.anchors(documents).hash)
+        a = self.anchors(documents)
+        pairs, *_ = distinct_keys(a.hash, a.keys.spans(a.first, a.last + self.length, 0))
+        distinct, counts = np.unique(pairs[:, 0], return_counts=True)
         for owner, share in shares(distinct, self.n_owners):
-            yield owner, distinct[share].astype(np.uint32).tobytes()
-
-    def repeated_anchors(self, a: Anchors, replies: dict[int, bytes]) -> np.ndarray:
+            yield owner, distinct[share].astype(np.uint32).tobytes() + np.minimum(counts[share], 65_535).astype(np.uint16).tobytes()
+
+    def answer_anchors(self, blocks: list[int], asked: list[bytes]) -> list[bytes]:
+        sizes = [len(x) // 6 for x in asked]
+        keys = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(asked, sizes, strict=True)])
+        counts = np.concatenate([np.frombuffer(x, np.uint16, n, 4 * n) for x, n in zip(asked, sizes, strict=True)])
+        _, which = np.unique(keys, return_inverse=True)
+        total = np.bincount(which, weights=counts)[which]
+        cuts = np.cumsum(sizes)[:-1]
+        return [bits(np.concatenate(x)) for x in zip(np.split(total > 1, cuts), np.split(total > self.hot_contexts, cuts), strict=True)]
+
+    def known_anchors(self, a: Anchors, replies: dict[int, bytes]) -> np.ndarray:
+        """What is known of each anchor."""
         distinct, which, count = np.unique(a.hash, return_inverse=True, return_counts=True)
-        there = count > 1
+        said = (count > 1).astype(np.uint8)
         for owner, share in shares(distinct, self.n_owners):
-            there[share] |= flags(replies[owner], share.stop - share.start)
-        return there[which]
-
-    # second question: is the context's first occurrence here, and are there others of its anchor?
-    def ask_contexts(self, documents: pa.Table, replies: dict[int, bytes] | None) -> Iterator[tuple[int, bytes]]:
-        a = self.anchors(documents)
-        known = self.repeated_anchors(a, replies or {})
-        yield NOTE, bits(known)
-        first, h, _ = a.contexts(np.flatnonzero(known))
-        for owner, share in shares(a.hash[first], self.n_owners):
-            f = first[share]
-            yield owner, pack_columns(anchor=a.hash[f], context=h[share], doc=a.doc[f], start=a.start[f].astype(np.int32))
+            repeated, hot = flags(replies[owner], 2 * (share.stop - share.start)).reshape(2, -1)
+            said[share] = np.where(hot, HOT, said[share] | repeated)
+        return said[which]
 
-    def answer_contexts(self, blocks: list[int], asked: list[bytes]) -> list[bytes]:
-        tables = [unpack(x) for x in asked]
-        sizes = [t.num_rows for t in tables]
-        anchor, context, doc, start = (np.concatenate([column(t, c) for t in tables]) for c in ("anchor", "context", "doc", "start"))
-        order = np.lexsort((np.repeat(blocks, sizes), start, doc, context, anchor))
-        a, c = anchor[order], context[order]
-        new_anchor, new = np.ones(len(a), bool), np.ones(len(a), bool)
-        new_anchor[1:] = a[1:] != a[:-1]
-        new[1:] = new_anchor[1:] | (c[1:] != c[:-1])
-        group = np.cumsum(new_anchor) - 1
-        different = np.bincount(group[new])[group]
-        said = np.where(~new, REPEATED, np.where(different == 1, UNIQUE, np.where(different > self.hot_contexts, HOT, COMPARE)))
-        out = np.empty(len(a), np.uint8)
-        out[order] = said
-        return [x.tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])]
-
-    def known_contexts(self, a: Anchors, known: np.ndarray, replies: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """For each anchor what is known of its context, and the earliest anchors of the block with each context."""
-        some = np.flatnonzero(known)
-        first, _, which = a.contexts(some)
-        said = np.zeros(len(first), np.uint8)
-        for owner, share in shares(a.hash[first], self.n_owners):
-            said[share] = np.frombuffer(replies[owner], np.uint8)
-        state = np.zeros(len(a.hash), np.uint8)
-        state[some] = REPEATED
-        state[first] = said
-        return state, first
-
-    # third question, for the different contexts of one anchor: which of their windows are earlier elsewhere?
+    # second question: which windows of repeated anchors start earlier elsewhere?
     def ask_windows(self, documents: pa.Table, replies: dict[int, bytes] | None) -> Iterator[tuple[int, bytes]]:
         a = self.anchors(documents)
-        known = flags(replies[NOTE], len(a.hash)) if replies else np.zeros(len(a.hash), bool)
-        state, _ = self.known_contexts(a, known, replies or {})
+        state = self.known_anchors(a, replies) if replies else np.zeros(len(a.hash), np.uint8)
         yield NOTE, state.tobytes()
-        some = self.compared(a, state)
-        for owner, share in shares(a.hash[some], self.n_owners):
-            f = some[share]
-            texts = pa.array([a.data[x:y].tobytes() for x, y in zip(a.first[f], a.last[f] + self.length, strict=True)], pa.binary())
-            yield owner, pack_columns(anchor=a.hash[f], doc=a.doc[f], start=(a.place[f] - a.first[f] + a.start[f]).astype(np.int64), column=(self.columns - 1 - (a.place[f] - a.first[f])).astype(np.int16), text=texts)
-        window, doc, start, h = self.hot_windows(a, state)
-        distinct, index = np.unique(h, return_index=True)
-        for owner, share in shares(distinct, self.n_owners):
+        first, _, texts = a.contexts(np.flatnonzero(state == REPEATED))
+        for owner, share in shares(a.hash[first], self.n_owners):
+            f = first[share]
+            yield owner, pack_columns(anchor=a.hash[f], doc=a.doc[f], start=(a.place[f] - a.first[f] + a.start[f]).astype(np.int64), column=(self.columns - 1 - (a.place[f] - a.first[f])).astype(np.int16), text=texts[share])
+        _, doc, start, keys, index, _ = self.hot_windows(a, state)
+        for owner, share in shares(keys[:, 0], self.n_owners):
             i = index[share]
-            yield self.n_owners + owner, pack_columns(window=distinct[share], doc=doc[i], start=start[i])
-
-    @staticmethod
-    def compared(a: Anchors, state: np.ndarray) -> np.ndarray:
-        some = np.flatnonzero(state == COMPARE)
-        return some[np.argsort(a.hash[some], kind="stable")]
+            yield self.n_owners + owner, pack_columns(window=keys[share, 0], again=keys[share, 1], doc=doc[i], start=start[i])
 
     def hot_windows(self, a: Anchors, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Windows of hot anchors, ascending by document and start: place, document, start, hash."""
+        """Windows of hot anchors, ascending by document and start: place, document, start; their
+        distinct keys, where each stands first, and which of them each window has."""
         hot = np.flatnonzero(state == HOT)
         counts = a.last[hot] - a.first[hot] + 1
         step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -226,7 +198,8 @@ class _Rounds:
         window, start = window + step, start + step
         order = np.lexsort((start, doc))
         window, doc, start = window[order], doc[order], start[order]
-        return window, doc, start, mix((a.h[window + self.length] - a.h[window]) * powers(_INVERSE, len(a.h))[window])
+        keys, index, which, _ = distinct_keys(*(a.keys.spans(window, window + self.length, k) for k in (0, 1)))
+        return window, doc, start, keys, index, which
 
     def answer_windows(self, blocks: list[int], asked: list[bytes]) -> list[bytes]:
         tables = [unpack(x) for x in asked]
@@ -234,10 +207,10 @@ class _Rounds:
         doc, start = (np.concatenate([column(t, c) for t in tables]) for c in ("doc", "start"))
         block = np.repeat(blocks, sizes)
         if "window" in tables[0].column_names:
-            window = np.concatenate([column(t, "window") for t in tables])
-            order = np.lexsort((block, start, doc, window))
+            window, again = (np.concatenate([column(t, c) for t in tables]) for c in ("window", "again"))
+            order = np.lexsort((block, start, doc, again, window))
             repeat = np.zeros(len(order), bool)
-            repeat[order[1:]] = window[order][1:] == window[order][:-1]
+            repeat[order[1:]] = (window[order][1:] == window[order][:-1]) & (again[order][1:] == again[order][:-1])
             return [bits(x) for x in np.split(repeat, np.cumsum(sizes)[:-1])]
         anchor, at = (np.concatenate([column(t, c) for t in tables]) for c in ("anchor", "column"))
         rank = np.empty(len(doc), np.int64)
@@ -267,18 +240,18 @@ class _Rounds:
         starts = [np.zeros(0, np.int64)]
         if replies:
             state = np.frombuffer(replies[NOTE], np.uint8)
-            whole = np.flatnonzero(state == REPEATED)
-            counts = a.last[whole] - a.first[whole] + 1
-            starts.append(np.repeat(a.first[whole], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
-            some = self.compared(a, state)
-            for owner, share in shares(a.hash[some], self.n_owners):
-                f = some[share]
+            some = np.flatnonzero(state == REPEATED)
+            first, which, _ = a.contexts(some)
+            again = np.setdiff1d(some, first, assume_unique=True)  # a context that the block has earlier
+            counts = a.last[again] - a.first[again] + 1
+            starts.append(np.repeat(a.first[again], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+            for owner, share in shares(a.hash[first], self.n_owners):
+                f = first[share]
                 which, at = np.nonzero(flags(replies[owner], len(f) * self.columns).reshape(len(f), self.columns))
                 starts.append(a.first[f][which] + at - (self.columns - 1 - (a.place[f] - a.first[f]))[which])
-            window, _, _, h = self.hot_windows(a, state)
-            distinct, index, which = np.unique(h, return_index=True, return_inverse=True)
-            earlier = np.zeros(len(distinct), bool)
-            for owner, share in shares(distinct, self.n_owners):
+            window, _, _, keys, index, which = self.hot_windows(a, state)
+            earlier = np.zeros(len(keys), bool)
+            for owner, share in shares(keys[:, 0], self.n_owners):
                 earlier[share] = flags(replies[self.n_owners + owner], share.stop - share.start)
             starts.append(window[earlier[which] | (index[which] != np.arange(len(window)))])
         return a, covered(len(a.data), np.concatenate(starts), self.length)
@@ -291,12 +264,12 @@ def suffix_dedup(docs: DataFrame, columns: list[str] | None = None, id_col: str
     if not GRAM < length <= 200:
         raise ValueError(f"length: over {GRAM}, at most 200")
     spark = docs.sparkSession
-    others = list(dict.fromkeys([id_col, *(c for c in columns or () if c != text)]))
+    others = list(dict.fromkeys([id_col, *(c for c in columns or () if c != text and c.lower() not in MADE)]))
     blocks = text_blocks(docs.withColumn(id_col, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))), [*others, text], text)
-    rounds = _Rounds(id_col, text, length, owners(spark, total_bytes(blocks) // 16), hot_contexts)
-    told = with_replies(blocks, ask(blocks, rounds.ask_anchors, repeated_in(np.uint32)))
-    told = with_replies(blocks, ask(told, rounds.ask_contexts, rounds.answer_contexts))
-    told = with_replies(blocks, ask(told, rounds.ask_windows, rounds.answer_windows))
+    size = total_bytes(blocks)
+    rounds = _Rounds(id_col, text, length, owners(spark, size // 16), hot_contexts)
+    told = with_replies(blocks, ask(blocks, size, rounds.ask_anchors, rounds.answer_anchors))
+    told = with_replies(blocks, ask(told, size, rounds.ask_windows, rounds.answer_windows))
     fields = [T.StructField(id_col, T.LongType()), *(docs.schema[c] for c in others[1:]), T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
     schema = to_arrow_schema(T.StructType(fields))
 

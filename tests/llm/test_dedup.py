@@ -110,3 +110,48 @@ def test_empty_tables(spark):
     assert not substring_dedup.substring_dedup(none, ["doc_id", "lang"]).collect()
     assert not suffix_dedup.suffix_dedup(none).collect()
     assert not jaccard_join.jaccard_join(none).collect()
+
+
+def _thue_morse(n, a, b):
+    return "".join((a, b)[bin(k).count("1") & 1] for k in range(n))
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """Thue-Morse strings and their complements meet under any polynomial modulo a power of two."""
+    p, q = _thue_morse(2_048, "a", "b"), _thue_morse(2_048, "b", "a")
+    rest = " ".join(f"w{k}" for k in range(34))
+    docs = spark.createDataFrame([(1, f"{p} {rest}", 1), (2, f"{q} {rest}", 1)], SCHEMA)
+    assert {r.n_removed for r in substring_dedup.substring_dedup(docs, ["doc_id"]).collect()} == {0}
+    docs = spark.createDataFrame([(1, p, 1), (2, q, 1)], SCHEMA)
+    assert {r.component_id for r in jaccard_join.jaccard_join(docs).collect()} == {1, 2}
+    docs = spark.createDataFrame([(1, p[:128], 1), (2, q[:128], 1)], SCHEMA)
+    shared = sum(q[k : k + 100] in p[:128] for k in range(29))
+    assert sum(r.n_removed > 0 for r in suffix_dedup.suffix_dedup(docs).collect()) == (shared > 0)
+
+
+def test_columns_named_like_results(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, 6, 7)], "doc_id long, text string, kept int, n_bytes int, N_REMOVED int")
+    every = docs.columns
+    assert substring_dedup.substring_dedup(docs, every).columns == ["doc_id", "n_bytes", "kept", "n_words", "n_removed"]
+    assert suffix_dedup.suffix_dedup(docs, every).columns == ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]
+    assert substring_dedup.substring_dedup(docs, every).first().kept == "a b"
+    assert suffix_dedup.suffix_dedup(docs, every).first().n_bytes == 3
+
+
+def test_rows_that_share_an_id(spark):
+    a, b = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    docs = spark.createDataFrame([(3, a, 1), (3, b, 2), (4, b, 3), (None, a, 4), (5, "", 5), (5, "", 6)], SCHEMA)
+    kept = jaccard_join.first_of_each(docs, ["doc_id", "text", "lang"]).collect()
+    assert sorted((r.doc_id, r.text, r.lang) for r in kept) == [(3, b, 2), (3, a, 1), (5, "", 5), (5, "", 6)]
+
+
+def test_all_cells_of_a_group_without_one_component(spark):
+    """A group of texts that share rare shingles, in many components of two: every link is in a cell."""
+    words = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(12):
+        text = words[:6] + [f"u{k}-{j}" for j in range(30 + 4 * k)]
+        rows += [(2 * k, " ".join(text), 1), (2 * k + 1, " ".join([*text, f"end{k}"]), 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(docs, group=2).collect()}
+    assert found == {k: k - k % 2 for k in range(24)}
