@@ -32,11 +32,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group that links of similarity 0.8 and more on
-    shingles of five words connect. Rows without a doc_id stay, as nothing can name them."""
-    joined = jaccard_join.jaccard_join(docs, n=5, percent=80)
-    firsts = joined.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return named.unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+    shingles of five words connect. Rows are told apart by their place, not by their doc_id."""
+    return jaccard_join.first_of_each(docs, COLUMNS, n=5, percent=80)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
