@@ -41,9 +41,9 @@ LENGTH = 100
 #: Bytes of an anchor.
 GRAM = 32
 #: Contexts of one anchor that one task compares.
-HOT_CONTEXTS = 50_000
+HOT_CONTEXTS = 20_000
 #: Contexts in one column-wise construction; one anchor's contexts stay together.
-BATCH = 100_000
+BATCH = 20_000
 #: Names of the results.
 MADE = ("kept", "n_bytes", "n_removed", "n_spans")
 _LOW = np.uint64(0xFFFFFFFF)
@@ -267,7 +267,7 @@ def suffix_dedup(docs: DataFrame, columns: list[str] | None = None, id_col: str
     others = list(dict.fromkeys([id_col, *(c for c in columns or () if c != text and c.lower() not in MADE)]))
     blocks = text_blocks(docs.withColumn(id_col, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))), [*others, text], text)
     size = total_bytes(blocks)
-    rounds = _Rounds(id_col, text, length, owners(spark, size // 16), hot_contexts)
+    rounds = _Rounds(id_col, text, length, owners(spark, size // 16, 500_000), hot_contexts)
     told = with_replies(blocks, ask(blocks, size, rounds.ask_anchors, rounds.answer_anchors))
     told = with_replies(blocks, ask(told, size, rounds.ask_windows, rounds.answer_windows))
     fields = [T.StructField(id_col, T.LongType()), *(docs.schema[c] for c in others[1:]), T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]

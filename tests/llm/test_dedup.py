@@ -52,7 +52,7 @@ def test_substring_dedup(docs, rows):
     assert sorted(map(tuple, substring_dedup.substring_dedup(docs, ["doc_id"]).collect())) == sorted(wanted)
 
 
-@pytest.mark.parametrize("hot", [50_000, 3])
+@pytest.mark.parametrize("hot", [20_000, 3])
 def test_suffix_dedup(docs, rows, hot):
     seen, wanted = set(), []
     for i, t, _ in sorted(rows, key=lambda r: r[0]):
