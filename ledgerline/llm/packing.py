@@ -2,10 +2,13 @@
 
 A configuration says how many pieces of each length one sequence holds. The linear program
 asks for the fewest sequences whose configurations cover the length histogram. It is solved
-by multiplicative weights: every length has a weight, a knapsack dynamic program finds the
-configuration of the largest total weight, which is used for a while, and the lengths that it
-served lose weight. The fractional solution is rounded down and what remains is priced and
-packed again in whole configurations. All of this sees only the histogram (as many rows as
+by multiplicative weights: every length has a price, its share of a sequence times a weight that
+falls as its demand is met; a knapsack dynamic program prices all room at once, and from its
+table follows the best configuration that holds a given length, among the pieces that are left. Each round
+prices anew and uses the best configurations of the longest open lengths for a part of their demand.
+The steps are rounded as they are taken: a configuration is used a whole number of times, at least
+once, and never more often than its pieces last. So the demand is met exactly and every sequence is
+a priced configuration; there is no rest to repair. All of this sees only the histogram (as many rows as
 there are lengths, so the capacity bounds it); the pieces get their places in Spark.
 
 Defined cases: null and empty text is one piece that holds the terminator alone; ties and
@@ -15,7 +18,7 @@ repeated rows are pieces of their own; an empty table gives no rows; extra colum
 from __future__ import annotations
 
 import array
-import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,58 +26,64 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from ledgerline.llm.common import materialize
 
 CAPACITY = 2048
 TERMINATOR = 0
-#: Distinct words whose ids one Python worker remembers.
-REMEMBERED = 250_000
+#: Distinct words whose ids one Python worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 250_000, 64
+#: Letters of a text that are cut in words at a time.
+CHUNK = 1 << 20
 #: Pieces whose ranks one window task assigns.
 RANK_BUCKET = 20_000
+#: Share of the work that a round of the linear program does; weight of an open length, and its decay.
+EPSILON, GAMMA, ETA = 0.03, 0.02, 4.0
 
+# A word with the single white space before it. Byte-level BPE's own pattern begins a word wherever one plain
+# white space stands between two other characters; any other white space stays inside a word here.
+_WORD = re.compile(r"(?:\A\s+|[ \n\t\r])?\S+(?:(?![ \n\t\r]\S)\s+\S+)*(?:\s+\Z)?|\A\s+\Z")
+_CUT = re.compile(r"(?<=\S)(?=[ \n\t\r]\S)")
 _encoders: dict = {}
 
 
 class _Encoder:
-    """Byte-level BPE ids as little-endian unsigned 32-bit integers. Text is cut before single
-    spaces, where the vocabulary's own word pattern cuts as well, and the parts are remembered."""
+    """Ids by the tokenizers library as little-endian unsigned 32-bit integers. Text is cut in words,
+    which the tokenizer's word pattern never joins, and the ids of short words are remembered."""
 
-    def __init__(self, json_path: str, ranks_path: str, pattern: str):
-        import tiktoken
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        plain = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.known: dict[str, bytes] = {}
 
-        class Known(dict):
-            def __missing__(self, word):
-                ids = array.array("I", plain(" " + word)).tobytes()
-                if len(self) < REMEMBERED and len(word) < 64:
-                    self[word] = ids
-                return ids
-
-        self.plain, self.known = plain, Known()
+    def words(self, text: str) -> list[str]:
+        out, at = [], 0
+        while len(text) - at > CHUNK and (m := _CUT.search(text, at + CHUNK)):
+            out += _WORD.findall(text[at : m.start()])
+            at = m.start()
+        return out + _WORD.findall(text[at:])
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if "  " in text:  # a run of white space is one word of the pattern
-            return array.array("I", self.plain(text)).tobytes()
-        first, space, rest = text.partition(" ")
-        head = array.array("I", self.plain(first)).tobytes()
-        return head + b"".join(map(self.known.__getitem__, rest.split(" "))) if space else head
-
+        words = self.words(text)
+        known = self.known
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        if new:
+            made = dict(zip(new, (array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+            if len(known) < REMEMBERED:
+                known.update((w, x) for w, x in made.items() if len(w) < LONGEST)
+            return b"".join([made[w] if w in made else known[w] for w in words])
+        return b"".join([known[w] for w in words])
 
-def _encoder(json_path: str, ranks_path: str) -> _Encoder:
-    import public_tokenizers
 
-    if (json_path, ranks_path) not in _encoders:
-        _encoders[json_path, ranks_path] = _Encoder(json_path, ranks_path, public_tokenizers.PATTERN)
-    return _encoders[json_path, ranks_path]
+def _encoder(path: str) -> _Encoder:
+    if path not in _encoders:
+        _encoders[path] = _Encoder(path)
+    return _encoders[path]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -83,12 +92,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, terminator: int = TERMINATOR) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, terminator: int = TERMINATOR) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32."""
     end = np.array([terminator], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(json_path, ranks_path)
+        encode = _encoder(path)
         for batch in batches:
             rows: list[tuple] = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -102,101 +111,64 @@ def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, id_col: str =
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _knapsack(weight: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts of the configuration with the largest total weight (pieces may repeat)."""
-    by_length = np.zeros(capacity + 1)
-    by_length[lengths] = weight
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    shortest = int(lengths.min())
-    for c in range(shortest, capacity + 1):
-        gains = by_length[1 : c + 1] + best[c - 1 :: -1][:c]
-        k = int(gains.argmax())
-        if gains[k] > best[c - 1]:
-            best[c], pick[c] = gains[k], k + 1
+def _best_values(price: np.ndarray, capacity: int) -> np.ndarray:
+    """The largest total price of pieces (any number of each length) that fit in each room."""
+    best, some = np.zeros(capacity + 1), np.flatnonzero(price > 0)
+    dense = 4 * len(some) > capacity
+    for c in range(int(some[0]), capacity + 1):
+        if dense:
+            top = (price[1 : c + 1] + best[c - 1 :: -1][:c]).max()
         else:
-            best[c], pick[c] = best[c - 1], 0
-    counts, c = np.zeros(capacity + 1, np.int64), capacity
-    while c > 0:
-        if pick[c]:
-            counts[pick[c]] += 1
-            c -= pick[c]
-        else:
-            c -= 1
-    return counts
+            k = some[: np.searchsorted(some, c, side="right")]
+            top = (price[k] + best[c - k]).max()
+        best[c] = max(top, best[c - 1])
+    return best
 
 
-def solve_configurations(histogram: dict[int, int], capacity: int, epsilon: float = 0.25, rounds: int = 400) -> list[tuple[dict[int, int], int]]:
+def solve_configurations(histogram: dict[int, int], capacity: int, epsilon: float = EPSILON) -> list[tuple[dict[int, int], int]]:
     """(configuration, times) pairs that hold exactly the histogram's pieces."""
-    lengths = np.array(sorted(n for n, k in histogram.items() if k > 0), np.int64)
-    left = np.zeros(capacity + 1, np.int64)
-    for n in lengths:
-        left[n] = histogram[int(n)]
+    demand = np.zeros(capacity + 1, np.int64)
+    for n, k in histogram.items():
+        demand[n] = k
+    left, lengths = demand.copy(), np.arange(capacity + 1)
     out: list[tuple[dict[int, int], int]] = []
-
-    def use(counts: np.ndarray, times: int) -> None:
-        if times > 0:
-            out.append(({int(n): int(counts[n]) for n in np.flatnonzero(counts)}, times))
-            left[:] -= counts * times
-
-    # fractional covering: a served length loses weight at the rate at which its demand is met
-    demand = left.astype(float)
-    met, found = np.zeros(capacity + 1), {}
-    for _ in range(rounds):
-        open_ = lengths[met[lengths] < 1]
-        if not len(open_):
-            break
-        weight = open_ / capacity * np.exp(-met[open_] / epsilon) / max(1e-300, np.exp(-met[open_].min() / epsilon))
-        counts = _knapsack(np.maximum(weight, 1e-12 * open_), open_, capacity)
-        used = np.flatnonzero(counts)
-        step = min(float((demand[used] / counts[used]).min()) * epsilon, float(((1 - met[used]) * demand[used] / counts[used]).min()))
-        met[used] += counts[used] * max(step, 1e-9) / demand[used]
-        met[met > 1 - 1e-9] = 1
-        key = tuple((int(n), int(counts[n])) for n in used)
-        found[key] = found.get(key, 0.0) + step
-    for key, times in sorted(found.items(), key=lambda x: -x[1]):
-        counts = np.zeros(capacity + 1, np.int64)
-        for n, k in key:
-            counts[n] = k
-        used = np.flatnonzero(counts)
-        use(counts, min(int(times), int((left[used] // counts[used]).min())))
-    # the rest, in whole configurations: longest piece first, filled to the brim where the lengths allow
     while left.any():
-        counts = _brim(left, capacity)
-        used = np.flatnonzero(counts)
-        use(counts, max(1, int((left[used] // counts[used]).min())))
+        some = np.flatnonzero(left)
+        met = 1 - left[some] / demand[some]
+        price = np.full(capacity + 1, -np.inf)
+        price[some] = some / capacity * (1 + GAMMA * np.exp(-ETA * (met - met.min())))
+        best, full = _best_values(price, capacity), price.copy()
+        goal = max(1, -int(-epsilon * (left @ lengths) // capacity))
+        for longest in some[::-1].tolist():
+            if not left[longest]:
+                continue
+            # follow the table from the longest piece on, over the lengths that still have pieces
+            counts, room, n = {}, capacity, longest
+            while room:
+                counts[n] = counts.get(n, 0) + 1
+                room -= n
+                if counts[n] == left[n]:
+                    price[n] = -np.inf
+                if not room:
+                    break
+                gains = price[1 : room + 1] + best[room - 1 :: -1][:room]
+                n = int(gains.argmax()) + 1
+                if gains[n - 1] == -np.inf:
+                    break
+            times = min(max(1, int(epsilon * left[longest] / counts[longest])), min(int(left[n]) // k for n, k in counts.items()))
+            for n, k in counts.items():
+                left[n] -= k * times
+                price[n] = full[n] if left[n] else -np.inf
+            out.append((counts, times))
+            goal -= times
+            if goal <= 0:
+                break
     return out
 
 
-def _brim(left: np.ndarray, capacity: int) -> np.ndarray:
-    """The longest remaining piece with the remaining pieces that fill its sequence best
-    (bounded knapsack over bits of reachable sums, long pieces preferred)."""
-    counts = np.zeros(capacity + 1, np.int64)
-    longest = int(np.flatnonzero(left).max())
-    counts[longest] = 1
-    room = capacity - longest
-    some = left.copy()
-    some[longest] -= 1
-    reach, came = 1, {}
-    full = (1 << (room + 1)) - 1
-    for n in np.flatnonzero(some[: room + 1])[::-1]:
-        n = int(n)
-        for _ in range(min(int(some[n]), room // n)):
-            new = (reach << n) & full & ~reach
-            if not new:
-                break
-            came_bits, reach = new, reach | new
-            while came_bits:
-                low = came_bits & -came_bits
-                came[low.bit_length() - 1] = n
-                came_bits ^= low
-        if reach >> room & 1:
-            break
-    at = reach.bit_length() - 1
-    while at:
-        n = came[at]
-        counts[n] += 1
-        at -= n
-    return counts
+def least_sequences(histogram: dict[int, int], capacity: int) -> int:
+    """A lower bound: by the tokens, and by the pieces of which no two fit in one sequence."""
+    return max(-(-sum(n * k for n, k in histogram.items()) // capacity), sum(k for n, k in histogram.items() if 2 * n > capacity))
 
 
 def _places(plan: list[tuple[dict[int, int], int]]) -> tuple[np.ndarray, ...]:
@@ -231,8 +203,6 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = salted.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most `capacity` rows
     keys, first, each, offset = _places(solve_configurations(histogram, capacity))
-    from pyspark.sql import Window as W
-
     base = counts.withColumn("_base", F.sum("_n").over(W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)))
     in_bucket = F.row_number().over(W.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32"))
     ranked = salted.withColumn("_k", in_bucket.cast("long")).join(base.select("length", "_bucket", "_base"), ["length", "_bucket"])
@@ -248,15 +218,12 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             k = rank - (keys[at] & ((1 << 44) - 1))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(first[at] + k // each[at]), pa.array(offset[at] + k % each[at] * n)], [*names, "sequence_id", "offset"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return ranked.mapInArrow(place, schema)
 
 
-def best_fit_packing(docs: DataFrame, json_path: str | None = None, ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Every document of docs (doc_id, text), tokenized, ended by the terminator, cut and packed."""
     import public_tokenizers as P
 
-    pieces = token_pieces(docs, json_path or P.path("byte_bpe_50k.json"), ranks_path or P.path("byte_bpe_50k.tiktoken"), capacity=capacity)
-    return pack_pieces(materialize(pieces), capacity)
+    return pack_pieces(materialize(token_pieces(docs, path or P.path("byte_bpe_50k.json"), capacity=capacity)), capacity)

@@ -30,16 +30,23 @@ def test_bpe(docs):
     assert found == wanted
 
 
-def test_packing(docs):
+def test_packing(spark):
+    """Ids, pieces, starts and checksums against the library; places against their definition."""
+    import zlib
+
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [*TEXTS, "the", "the", "\n \xa0 \xa0", "long " * 3_000 + "é" * 500, "long " * 3_000 + "é" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = set()
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        first = len(ids) % 2048 or min(len(ids), 2048)
+        at = [0, *range(first, len(ids), 2048)]
+        wanted |= {(i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(at, [*at[1:], len(ids)], strict=True))}
     rows = packing.best_fit_packing(docs).collect()
-    wanted = sorted(len(t.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect())
-    total: dict = {}
-    for r in rows:
-        total.setdefault(r.doc_id, []).append(r.length)
-    assert sum(sum(x) for x in total.values()) == sum(wanted)
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == wanted and len(rows) == len(wanted)
     by_sequence: dict = {}
     for r in rows:
         by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -49,12 +56,28 @@ def test_packing(docs):
             assert offset == at
             at += length
         assert at <= 2048
-    assert len(by_sequence) == -(-sum(wanted) // 2048)
+    assert len(by_sequence) <= 1 + packing.least_sequences({n: sum(x[3] == n for x in wanted) for n in {x[3] for x in wanted}}, 2048)
+
+
+def test_packed_words_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    t, encode = Tokenizer.from_file(path), packing._Encoder(path)
+    rnd = random.Random(8)
+    parts = [" ", " ", "\n", "\t", "\r", "\xa0", "\x1c", "\x85", "\u2003", "\u3000", "\x0b", "\u200b", "a", "don't", "'s", "!", "12", "é", "e\u0301", "😀", "<|endoftext|>", "word", "\ufeff"]
+    for _ in range(6_000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 14)))
+        assert "".join(encode.words(text)) == text
+        assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    long = " ".join(rnd.choice(parts) for _ in range(400_000))
+    assert np.frombuffer(encode(long), "<u4").tolist() == t.encode(long, add_special_tokens=False).ids
 
 
-def test_packing_needs_few_sequences():
+@pytest.mark.parametrize(("some", "most", "over"), [(300, 60, 1.03), (1_800, 12, 1.002), (1_200, 400, 1.02)])
+def test_packing_needs_few_sequences(some, most, over):
     rnd = random.Random(2)
-    histogram = {n: rnd.randrange(1, 60) for n in rnd.sample(range(1, 2049), 300)}
+    histogram = {min(n, 2_048): rnd.randrange(1, most) for n in (int(rnd.expovariate(1 / 400)) + 1 for _ in range(some))}
     plan = packing.solve_configurations(histogram, 2048)
     used: dict = {}
     for config, times in plan:
@@ -62,7 +85,8 @@ def test_packing_needs_few_sequences():
         for n, k in config.items():
             used[n] = used.get(n, 0) + k * times
     assert used == histogram
-    assert sum(times for _, times in plan) <= 1.05 * sum(n * k for n, k in histogram.items()) / 2048 + 1
+    assert sum(times for _, times in plan) <= over * packing.least_sequences(histogram, 2048) + 1
+    assert packing.solve_configurations({}, 2048) == []
 
 
 def test_top_k(spark, monkeypatch):
