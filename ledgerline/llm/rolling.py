@@ -24,6 +24,21 @@ _KEY = b"windows of words"
 _SALTS = [[np.uint64(x) for x in row] for row in np.random.default_rng(20240229).integers(1 << 62, 1 << 63, (2, 2), dtype=np.uint64)]
 
 
+class _Digests(dict):
+    """Keyed hashes of words; the short ones met first are remembered."""
+
+    REMEMBERED, LONGEST = 150_000, 24
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = blake2b(word, digest_size=16, key=_KEY).digest()
+        if len(self) < self.REMEMBERED and len(word) < self.LONGEST:
+            self[word] = found
+        return found
+
+
+_digests = _Digests()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit over the word (in place)."""
     x ^= x >> np.uint64(31)
@@ -144,7 +159,7 @@ class Words:
     def lane(self, k: int) -> np.ndarray:
         """A lane of each word's key."""
         if self._lanes is None:
-            digests = b"".join(blake2b(w, digest_size=16, key=_KEY).digest() for w in self._coded.dictionary.to_pylist())
+            digests = b"".join(map(_digests.__getitem__, self._coded.dictionary.to_pylist()))
             self._lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
         return self._lanes[:, k][self._coded.indices.to_numpy(zero_copy_only=False)] if len(self.start) else np.zeros(0, np.uint64)
 
