@@ -2,50 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import joins, periods, ratios, screen, stats
+from ledgerline.plans import text as _text  # noqa: F401  (registers its queries)
+from ledgerline.plans.base import QUERIES, SQL, Query, query
+from ledgerline.plans.base import r as _r
+from ledgerline.plans.base import rounded as _rounded
 from ledgerline.plans.facts import FACTS_SQL, WIDE_SQL, facts, wide
 from ledgerline.session import table
 from ledgerline.sources import sinks
 from ledgerline.streaming import incremental
 
-Query = Callable[[SparkSession, str], DataFrame]
-_queries: dict[str, Query] = {}
-_sql: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name."""
-
-    def add(f: Query) -> Query:
-        _queries[f.__name__] = f
-        if sql:
-            _sql[f.__name__] = sql
-        return f
-
-    return add
-
-
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
-
-
-def _r(x: Column | str, digits: int = 6) -> Column:
-    return F.round(C.col(x), digits)
-
-
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[_r(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return dict(SQL)
 
 
 _LATEST = FACTS_SQL + """, latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept, start, "end" ORDER BY filed DESC, seq) AS rn FROM facts) WHERE rn = 1)"""
