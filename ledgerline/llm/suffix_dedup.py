@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.common import NO_ID, NOTE, ask, bits, column, each_block, flags, owners, pack_columns, shares, text_blocks, total_bytes, unpack, with_replies
-from ledgerline.llm.rolling import Bytes, covered, distinct_keys, slices, text_buffer
+from ledgerline.llm.rolling import Bytes, covered, distinct_keys, mix, slices, text_buffer
 
 LENGTH = 100
 #: Bytes of an anchor.
@@ -80,7 +80,7 @@ class Anchors:
         at = np.flatnonzero(new)
         self.place, self.first = place[at], window[at]
         self.last = window[np.append(at[1:], len(window)) - 1] if len(at) else window
-        self.hash = grams[self.place]
+        self.hash = mix(grams[self.place])  # anchors have low keys; owners hold even ranges
         self.doc = self.doc_ids[text_of[at]]
         self.start = self.first - self.offsets[text_of[at]]
         self.length = length
@@ -88,14 +88,18 @@ class Anchors:
     def contexts(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Of the anchors `some`: one for each different context (the earliest, ascending by anchor),
         which of those contexts each anchor has, and their bytes."""
-        texts = slices(self.data, self.first[some], self.last[some] + self.length).dictionary_encode()
-        code = texts.indices.to_numpy(zero_copy_only=False)
-        order = np.lexsort((self.start[some], self.doc[some], code))
-        lead = order[np.flatnonzero(np.append(True, code[order][1:] != code[order][:-1]))] if len(some) else order
-        lead = lead[np.lexsort((lead, self.hash[some][lead]))]
-        place = np.empty(len(lead), np.int64)
-        place[code[lead]] = np.arange(len(lead))
-        return some[lead], place[code] if len(some) else order, texts.dictionary.take(pa.array(code[lead]))
+        low, high = self.first[some], self.last[some] + self.length
+        a, b = (self.keys.spans(low, high, k) for k in (0, 1))
+        order = np.lexsort((self.start[some], self.doc[some], b, a))
+        new = np.ones(len(order), bool)
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+        lead, code = order[new], np.empty(len(order), np.int64)
+        code[order] = np.cumsum(new) - 1
+        by = np.lexsort((lead, self.hash[some][lead]))
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        lead = lead[by]
+        return some[lead], place[code], slices(self.data, low[lead], high[lead])
 
 
 def earlier_windows(symbols: np.ndarray, rank: np.ndarray, length: int, columns: int) -> np.ndarray:
