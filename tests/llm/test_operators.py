@@ -63,7 +63,7 @@ def test_packed_words_are_the_librarys():
     from tokenizers import Tokenizer
 
     path = P.path("byte_bpe_50k.json")
-    t, encode = Tokenizer.from_file(path), packing._Encoder(path)
+    t, encode = Tokenizer.from_file(path), packing._Encoder(path, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     rnd = random.Random(8)
     parts = [" ", " ", "\n", "\t", "\r", "\xa0", "\x1c", "\x85", "\u2003", "\u3000", "\x0b", "\u200b", "a", "don't", "'s", "!", "12", "é", "e\u0301", "😀", "<|endoftext|>", "word", "\ufeff"]
     for _ in range(6_000):
