@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sector by the first two digits of the industry code.
@@ -28,6 +28,11 @@ PAGE_FAULTS = [
     ("maintenance", ["maintenance", "mantenimiento", "temporarily unavailable", "service unavailable", "503"]),
     ("error_page", ["404", "not found", "ha ocurrido un error", "ocurrió un error", "error interno", "internal server error"]),
 ]
+# Names of forms with statements, and of forms without.
+STATEMENT_FORMS = ["ESTADOS CONTABLES", "ESTADOS FINANCIEROS", "BALANCE", "NIIF", "INFORMACIÓN FINANCIERA", "ESTADO DE SITUACIÓN", "ESTADO DE RESULTADOS", "CONTROLADAS", "VINCULADAS"]
+OTHER_FORMS = ["HECHO RELEVANTE", "ACTA", "ASAMBLEA", "DIRECTORIO", "PROSPECTO", "AVISO", "MEMORIA", "CONVOCATORIA", "EDICTO", "CALIFICACIÓN", "RENUNCIA", "DESIGNACIÓN", "AUTORIZACIÓN", "REORGANIZACIÓN", "FUSIÓN"]
+# Kinds of change by the first word of the message.
+CHANGE_KINDS = {"feat": "Feature", "fix": "Bug Fix", "docs": "Documentation", "refactor": "Refactor", "test": "Test"}
 
 
 def col(x: Column | str) -> Column:
@@ -187,3 +192,53 @@ def plain_text(markup: Column | str) -> Column:
 def sorted_tokens(text: Column | str) -> Column:
     """Lower-case tokens in order, for comparing names whatever their order."""
     return F.array_join(F.array_sort(F.split(F.trim(F.lower(col(text))), r"\s+")), " ")
+
+
+def keyword_class(text: Column | str, allowed: list[str], denied: list[str]) -> Column:
+    """1 if the text has a word of the first list, else 0 if of the second, else NULL; case is ignored."""
+    upper = F.upper(col(text))
+    return F.when(upper.rlike("|".join(allowed)), 1).when(upper.rlike("|".join(denied)), 0)
+
+
+def prefix_class(text: Column | str, kinds: dict[str, str] = CHANGE_KINDS, other: str = "Other") -> Column:
+    chain = F
+    for prefix, name in kinds.items():
+        chain = chain.when(col(text).startswith(prefix), name)
+    return chain.otherwise(other)
+
+
+def progress(state: Column | str) -> Column:
+    return F.when(col(state) == "COMPLETADA", 100).when(col(state) == "EN PROGRESO", 50).otherwise(0)
+
+
+def joined_notes(notes: dict[str, Column]) -> Column:
+    """The notes whose condition holds, joined by '; '; empty if none does."""
+    return F.concat_ws("; ", *[F.when(c, text) for text, c in notes.items()])
+
+
+def extraction_state(accepted: Column, items: Column, empty_text: Column) -> Column:
+    """OK if accepted, PARCIAL with some items, ESCANEADO without text, else VACIO."""
+    return F.when(F.coalesce(accepted, F.lit(False)), "OK").when(items > 0, "PARCIAL").when(empty_text, "ESCANEADO").otherwise("VACIO")
+
+
+def gross_gap(revenue: Column | str, cost: Column | str, gross: Column | str) -> Column:
+    """Percent by which revenue and cost miss the gross profit; a cost may be given as negative."""
+    made = col(revenue) + F.when(col(cost) < 0, col(cost)).otherwise(-col(cost))
+    return safe_ratio(F.abs(made - col(gross)), F.abs(col(gross))) * 100
+
+
+def reconciled_income(net: Column | str, comprehensive: Column | str, times: float = 5.0) -> Column:
+    """The comprehensive income where the net one is missing or over `times` smaller, else the net one."""
+    ratio = F.abs(safe_ratio(comprehensive, net))
+    return F.when(col(comprehensive).isNotNull() & (col(net).isNull() | F.coalesce(ratio > times, F.lit(False))), col(comprehensive)).otherwise(col(net))
+
+
+def token_similarity(a: Column | str, b: Column | str) -> Column:
+    """0 to 100 by the edit distance of the names' sorted tokens."""
+    x, y = sorted_tokens(a), sorted_tokens(b)
+    return F.round(100 * (1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1))), 4)
+
+
+def existing(df: DataFrame, names: list[str]) -> DataFrame:
+    """Those of the columns that df has."""
+    return df.select(*[n for n in names if n in df.columns])

@@ -30,3 +30,30 @@ def year_earlier_pairs(facts: DataFrame, days: tuple[int, int] = (350, 380), dur
     other = d.withColumnsRenamed({"seq": "prior_seq", "end": "prior_end", "d": "prior_d"})
     near = F.datediff("end", "prior_end").between(*days) & (F.abs(F.col("d") - F.col("prior_d")) <= duration)
     return d.join(other, ["entity", "concept"]).filter((F.col("seq") != F.col("prior_seq")) & near)
+
+
+def route_excluded(rows: DataFrame, excluded: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """rows whose key isn't excluded, and the others with excluded's reason."""
+    return rows.join(excluded.select(key), key, "left_anti"), rows.join(excluded.select(key, "reason"), key)
+
+
+def usable_pairs(left: DataFrame, right: DataFrame, key: str, values: tuple[str, str], failed: Column) -> DataFrame:
+    """Rows of both sides by key, without failed ones and without a value that is missing or, as the
+    reference, zero."""
+    a, b = values
+    return left.join(right, key).filter(~F.coalesce(failed, F.lit(False)) & F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(b) != 0))
+
+
+def first_hit(wanted: DataFrame, catalog: DataFrame, key: str, hit: Column, order: list) -> DataFrame:
+    """Each wanted row with the first catalog row of its search key that `hit` accepts, or with NULLs."""
+    found = wanted.join(catalog, key).filter(hit)
+    names = [c for c in catalog.columns if c != key]
+    best = found.groupBy(*wanted.columns).agg(F.min_by(F.struct(*names), F.struct(*order)).alias("_hit"))
+    return wanted.join(best, wanted.columns, "left").select(*wanted.columns, *[F.col("_hit")[c].alias(c) for c in names])
+
+
+def bounded_scan(rows: DataFrame, by: list[str], order: list, matches: Column, most_matches: int, most_examined: int) -> DataFrame:
+    """The matching rows that a scan in order takes, which stops after so many matches or examined rows."""
+    at = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = rows.withColumns({"_m": matches}).withColumns({"_examined": F.count(F.lit(1)).over(at), "_matches": F.count_if("_m").over(at)})
+    return counted.filter(F.col("_m") & (F.col("_examined") <= most_examined) & (F.col("_matches") <= most_matches)).drop("_m", "_examined", "_matches")

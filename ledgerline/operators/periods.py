@@ -50,6 +50,21 @@ def resolve_recent(facts: DataFrame, priorities: DataFrame) -> DataFrame:
     return newest.withColumn("_best", best).filter(F.struct(F.col("_end"), -F.col("priority")) == F.col("_best")).drop("_end", "_best")
 
 
+def resolve_priority(facts: DataFrame, priorities: DataFrame) -> DataFrame:
+    """For each concept the rows of its best listed tag; without a listed one, of its first tag by name.
+    facts has a concept of its own, which a tag of any taxonomy may bear."""
+    ranked = facts.join(F.broadcast(priorities), ["concept", "tag"], "left")
+    best = F.min(F.struct(F.coalesce("priority", F.lit(1 << 30)).alias("p"), F.col("tag"))).over(W.partitionBy(*KEYS))
+    return ranked.withColumn("_best", best).filter(F.col("tag") == F.col("_best")["tag"]).drop("_best", "priority")
+
+
+def elect_scheme(facts: DataFrame, first: str = "us-gaap", second: str = "ifrs-full") -> DataFrame:
+    """Rows of each entity's taxonomy: the one with more different concepts, `first` on ties."""
+    n = lambda name: F.count_distinct(F.when(F.col("taxonomy") == name, F.col("concept")))
+    chosen = facts.groupBy("entity").agg(F.when(n(second) > n(first), second).otherwise(first).alias("taxonomy"))
+    return facts.join(chosen, ["entity", "taxonomy"], "left_semi")
+
+
 @dataclass(frozen=True)
 class TtmRule:
     """Days that tell periods apart, and how far matches may be off."""
@@ -72,21 +87,28 @@ TTM_OLD = TtmRule(partial=(170, 290), start=5, prior=(355, 380), duration=5, pri
 def trailing_twelve_months(facts: DataFrame, rule: TtmRule = TTM) -> DataFrame:
     """entity, concept, value, end, strategy. A: the newest four quarters if they follow each other;
     B: the newest year plus the part after it less the same part a year earlier; C: the newest year."""
-    dp = facts.select(*KEYS, "seq", "start", "end", "val").withColumn("d", inclusive_days("start", "end"))
-    newest = W.partitionBy(*KEYS).orderBy(F.desc("end"), "seq")
-    quarters = dp.filter(F.col("d").between(*rule.quarter)).withColumn("rn", F.row_number().over(newest)).filter("rn <= 4")
-    ahead = F.datediff("start", F.lag("end").over(W.partitionBy(*KEYS).orderBy("end", F.desc("rn"))))
-    a = quarters.withColumn("off", F.abs(ahead)).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("off"), F.sum("val").alias("a_value"), F.max("end").alias("a_end")).filter((F.col("n") == 4) & (F.coalesce("off", F.lit(0)) <= rule.gap)).select(*KEYS, "a_value", "a_end")
-    year = dp.filter(F.col("d").between(*rule.annual)).withColumn("rn", F.row_number().over(newest)).filter("rn = 1").select(*KEYS, F.col("end").alias("y_end"), F.col("val").alias("y_val"))
-    part = dp.join(year, KEYS).filter(F.col("start").isNotNull() & F.col("d").between(*rule.partial) & (F.abs(F.datediff("start", "y_end")) <= rule.start))
-    part = _first(part, KEYS, F.desc("end"), F.asc("seq")).select(*KEYS, F.col("seq").alias("p_seq"), F.col("end").alias("p_end"), F.col("d").alias("p_d"), F.col("val").alias("p_val"))
-    prior = dp.join(part, KEYS).filter((F.col("seq") != F.col("p_seq")) & F.col("start").isNotNull() & F.datediff("p_end", "end").between(*rule.prior) & (F.abs(F.col("d") - F.col("p_d")) <= rule.duration))
-    order = (F.desc("end"), F.asc("seq")) if rule.prior_newest else (F.asc("seq"),)
-    prior = _first(prior, KEYS, *order).select(*KEYS, "p_end", "p_val", F.col("val").alias("r_val"))
-    joined = dp.select(*KEYS).distinct().join(a, KEYS, "left").join(year, KEYS, "left").join(prior, KEYS, "left")
-    b_value = F.col("y_val") + F.col("p_val") - F.col("r_val")
-    strategy = F.when(F.col("a_end").isNotNull(), "A").when(b_value.isNotNull(), "B").when(F.col("y_end").isNotNull(), "C")
-    return joined.select(*KEYS, F.coalesce("a_value", b_value, "y_val").alias("value"), F.when(strategy == "A", F.col("a_end")).when(strategy == "B", F.col("p_end")).otherwise(F.col("y_end")).alias("end"), strategy.alias("strategy"))
+    # every window and the aggregation partition by the keys: one shuffle at most
+    series = W.partitionBy(*KEYS)
+    dp = facts.select(*KEYS, "seq", "start", "end", "val").withColumns({"_d": inclusive_days("start", "end")})
+    dp = dp.withColumn("_year", F.max(F.when(F.col("_d").between(*rule.annual), F.struct("end", (-F.col("seq")).alias("s"), "val"))).over(series))
+    part = F.col("start").isNotNull() & F.col("_d").between(*rule.partial) & (F.abs(F.datediff("start", "_year.end")) <= rule.start)
+    dp = dp.withColumn("_part", F.max(F.when(part, F.struct("end", (-F.col("seq")).alias("s"), F.col("_d").alias("d"), "val"))).over(series))
+    quarters = W.partitionBy(*KEYS, "_quarter")
+    dp = dp.withColumn("_quarter", F.coalesce(F.col("_d").between(*rule.quarter), F.lit(False)))
+    dp = dp.withColumn("_rn", F.row_number().over(quarters.orderBy(F.desc("end"), "seq")))
+    dp = dp.withColumn("_off", F.abs(F.datediff("start", F.lag("end").over(quarters.orderBy("end", F.desc("_rn"))))))
+    newest = F.col("_quarter") & (F.col("_rn") <= 4)
+    prior = (F.col("seq") != -F.col("_part.s")) & F.col("start").isNotNull() & F.datediff("_part.end", "end").between(*rule.prior) & (F.abs(F.col("_d") - F.col("_part.d")) <= rule.duration)
+    if rule.prior_newest:
+        priors = F.max(F.when(prior, F.struct("end", (-F.col("seq")).alias("s"), "val")))
+    else:
+        priors = F.min(F.when(prior, F.struct("seq", "val")))
+    made = dp.groupBy(*KEYS).agg(F.count_if(newest).alias("n"), F.max(F.when(newest & (F.col("_rn") < 4), F.col("_off"))).alias("off"), F.sum(F.when(newest, F.col("val"))).alias("sum"), F.max(F.when(newest, F.col("end"))).alias("last"), F.first("_year").alias("y"), F.first("_part").alias("p"), priors.alias("r"))
+    four = (F.col("n") == 4) & (F.coalesce("off", F.lit(0)) <= rule.gap)
+    a_value, a_end = F.when(four, F.col("sum")), F.when(four, F.col("last"))
+    b_value = F.col("y.val") + F.col("p.val") - F.col("r.val")
+    strategy = F.when(a_end.isNotNull(), "A").when(b_value.isNotNull(), "B").when(F.col("y.end").isNotNull(), "C")
+    return made.select(*KEYS, F.coalesce(a_value, b_value, "y.val").alias("value"), F.when(strategy == "A", a_end).when(strategy == "B", F.col("p.end")).otherwise(F.col("y.end")).alias("end"), strategy.alias("strategy"))
 
 
 def last_value(facts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -118,16 +140,22 @@ def cagr(series: DataFrame, years: int = 5, robust: bool = False) -> DataFrame:
     return made.select(*KEYS, growth.alias("cagr"))
 
 
+def clean_annual(facts: DataFrame) -> DataFrame:
+    """Annual durations with a value, one for each end."""
+    return annual_series(facts.filter("val is not null"), instants=False)
+
+
 def upper_median(sorted_values) -> Column:
     return F.try_element_at(sorted_values, F.floor(F.size(sorted_values) / 2).cast("int") + 1)
 
 
 def year_earlier(facts: DataFrame, low: int = 300, high: int = 430) -> DataFrame:
     """keys, val, end of the last balance and prior, the latest that is low to high days older."""
-    last = last_value(facts)
-    older = facts.select(*KEYS, F.col("end").alias("_end"), F.col("val").alias("_val"), "seq").join(last.select(*KEYS, "end"), KEYS).filter(F.datediff("end", "_end").between(low, high))
-    prior = older.groupBy(*KEYS).agg(F.max_by("_val", F.struct(F.col("_end"), -F.col("seq"))).alias("prior"))
-    return last.join(prior, KEYS, "left")
+    known = F.col("val").isNotNull() & F.col("end").isNotNull()
+    last = F.max(F.when(known, F.struct("end", (-F.col("seq")).alias("s"), "val"))).over(W.partitionBy(*KEYS))
+    older = F.when(F.datediff("_last.end", "end").between(low, high), F.struct("end", (-F.col("seq")).alias("s"), "val"))
+    made = facts.select(*KEYS, "end", "val", "seq").withColumn("_last", last).filter("_last is not null").groupBy(*KEYS).agg(F.first("_last").alias("l"), F.max(older).alias("o"))
+    return made.select(*KEYS, "l.val", "l.end", F.col("o.val").alias("prior"))
 
 
 def average_balance(facts: DataFrame) -> DataFrame:

@@ -90,3 +90,80 @@ def depreciation(comprehensive: Column, first: Column, second: Column, second_is
     larger = F.greatest(first, second)
     plain = second_is_depreciation & (F.coalesce(second >= first, first.isNull()))
     return F.coalesce(comprehensive, F.when(plain, lenient_sum(second, intangibles)).otherwise(larger))
+
+
+def plausible_shares_flag(diluted: Column, outstanding: Column) -> Column:
+    """Whether plausible_shares discards the figure."""
+    r = safe_ratio(diluted, outstanding)
+    return F.when((r > 100) | (r < 0.01), "shares_descartadas_escala")
+
+
+def four_part_ebitda(income: Column | str, depreciation: Column | str, interest: Column | str, tax: Column | str) -> Column:
+    """Net income, depreciation, interest and tax; NULL if any is missing."""
+    return strict_sum(income, depreciation, interest, tax)
+
+
+def screener_ratios(price: str = "price", cap: str = "market_cap") -> dict[str, Column]:
+    """The screener's ratios: debt is all liabilities; a zero income counts as missing; a ratio whose
+    denominator is no positive number is NULL. Columns: net_income, revenue, equity, liabilities,
+    operating_income, ebitda, fcf, diluted_shares, dividend_yield."""
+    c = F.col
+    some = zero_as_missing
+    eps = guarded_ratio(some("net_income"), "diluted_shares")
+    book = F.when(c("equity") > 0, guarded_ratio("equity", "diluted_shares"))
+    return {
+        "pe": guarded_ratio(some(price), eps),
+        "p_book": guarded_ratio(some(price), book),
+        "debt_equity": guarded_ratio(some("liabilities"), "equity"),
+        "debt_ebitda": guarded_ratio(some("liabilities"), "ebitda"),
+        "margin_neto": guarded_ratio(some("net_income"), "revenue"),
+        "roe": guarded_ratio(some("net_income"), "equity"),
+        "op_margin": guarded_ratio(some("operating_income"), "revenue"),
+        "ebitda_margin": guarded_ratio(some("ebitda"), "revenue"),
+        "fcf_yield": F.when(c("fcf") > 0, guarded_ratio("fcf", cap)),
+        "payout_ratio": c("dividend_yield"),
+        "current_ratio": F.lit(None).cast("double"),
+        "eps_cagr_5y": F.lit(None).cast("double"),
+    }
+
+
+def template_ratios() -> dict[str, Column]:
+    """Ratios of a regulator's template; missing debt counts as none."""
+    debt = F.coalesce("debt_current", F.lit(0.0)) + F.coalesce("debt_non_current", F.lit(0.0))
+    return {
+        "margen_bruto": safe_ratio("gross_profit", "revenue"),
+        "margen_neto": safe_ratio("net_income", "revenue"),
+        "roe": safe_ratio("net_income", "equity"),
+        "roa": safe_ratio("net_income", "assets"),
+        "current_ratio": safe_ratio("current_assets", "current_liabilities"),
+        "deuda_ebitda": safe_ratio(debt, F.col("ebitda")),
+    }
+
+
+def implied_by(metric: Column, value: Column) -> Column:
+    """struct(implied, actual): the input that a reference value of a metric implies, and the actual
+    one: net income for PER, EPS and Margen, mean equity for ROE, dividends for Payout, none for
+    others. Columns: price, shares, net_income, revenue, average_equity, dividends."""
+    some = zero_as_missing
+    pair = lambda implied, actual: F.struct(implied.alias("implied"), F.col(actual).alias("actual"))
+    none = F.lit(None).cast("double")
+    rules = [
+        ("PER", pair(safe_ratio(some("price"), value) * some("shares"), "net_income")),
+        ("EPS", pair(value * some("shares"), "net_income")),
+        ("Margen", pair(value * some("revenue"), "net_income")),
+        ("ROE", pair(safe_ratio(some("net_income"), value), "average_equity")),
+        ("Payout", pair(value * some("net_income"), "dividends")),
+    ]
+    chain = F
+    for name, struct in rules:
+        chain = chain.when(metric == name, struct)
+    return chain.otherwise(F.struct(none.alias("implied"), none.alias("actual")))
+
+
+def lineage_sheet(wide: DataFrame, key: str, parts: dict[str, tuple[str, str, bool]]) -> DataFrame:
+    """wide with each ratio (numerator, denominator, guarded) and its formula where it could be computed."""
+    made = {}
+    for name, (a, b, guarded) in parts.items():
+        made[name] = guarded_ratio(a, b) if guarded else safe_ratio(a, b)
+        made[f"{name}_formula"] = F.when(made[name].isNotNull(), f"{a} / {b}")
+    return wide.withColumns(made)

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import joins, periods, ratios, screen, stats
-from ledgerline.plans import text as _text  # noqa: F401  (registers its queries)
+from ledgerline.plans import labels, series, storage, text  # noqa: F401  (they register their queries)
 from ledgerline.plans.base import QUERIES, SQL, Query, query
 from ledgerline.plans.base import r as _r
 from ledgerline.plans.base import rounded as _rounded
@@ -52,7 +52,13 @@ def op_t8(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(periods.trailing_twelve_months(periods.latest_filed(facts(spark, sf))), 2)
 
 
-@query()
+_TTM_OLD = _TTM
+for _new, _old in (("dp.d <= 300", "dp.d BETWEEN 170 AND 290"), ("y_end, start)) <= 7", "y_end, start)) <= 5"), ("BETWEEN 350 AND 380 AND abs(dp.d - p_d) <= 7", "BETWEEN 355 AND 380 AND abs(dp.d - p_d) <= 5"), ("ORDER BY dp.seq) AS rn", 'ORDER BY dp."end" DESC, dp.seq) AS rn')):
+    assert _new in _TTM_OLD, _new
+    _TTM_OLD = _TTM_OLD.replace(_new, _old)
+
+
+@query(f"WITH {_TTM_OLD} SELECT entity, concept, round(value, 2) AS value, \"end\", strategy FROM ttm")
 def op_t9(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(periods.trailing_twelve_months(periods.latest_filed(facts(spark, sf)), periods.TTM_OLD), 2)
 

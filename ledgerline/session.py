@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -25,6 +28,17 @@ def get_session(app: str = "ledgerline", master: str | None = None, **conf: str)
     return builder.config(map=settings).getOrCreate()
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or on a single
+    machine that names none, a temporary folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir: names no folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{found}/{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

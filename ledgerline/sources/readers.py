@@ -11,6 +11,11 @@ _POINT = "struct<start:string,end:string,val:double,fy:int,fp:string,form:string
 COMPANY_FACTS = f"map<string,map<string,struct<label:string,units:map<string,array<{_POINT}>>>>>"
 
 
+# The characters of the Windows code page at 0x80 to 0x9F that have one, and those places.
+_WINDOWS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+_PLACES = "".join(chr(c) for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
     return spark.read.schema(schema).options(header=True, encoding="UTF-8", **options).csv(path)
 
@@ -20,9 +25,11 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(header=True, inferSchema=False).csv(path)
 
 
-def read_sheet(spark: SparkSession, path: str, least_rows: int, most_rows: int, words: list[str], least_columns: int, charset: str = "ISO-8859-1") -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, least_rows: int, most_rows: int, words: list[str], least_columns: int, charset: str = "windows-1252") -> DataFrame:
     """A comparison sheet: its separator is found on the first line; its shape is checked, and a
     sheet of another shape raises ValueError. Columns are c0, c1, ..."""
+    windows = charset == "windows-1252"  # Spark reads the subset that is ISO-8859-1; the rest is mapped
+    charset = "ISO-8859-1" if windows else charset
     lines = spark.read.option("encoding", charset).text(path)
     head = [r["value"] for r in lines.limit(5).collect()]
     if not head:
@@ -39,7 +46,7 @@ def read_sheet(spark: SparkSession, path: str, least_rows: int, most_rows: int,
     n = sheet.count()
     if not least_rows <= n <= most_rows:
         raise ValueError(f"{path}: {n} rows")
-    return sheet
+    return sheet.select(*[F.translate(c, _PLACES, _WINDOWS).alias(c) for c in sheet.columns]) if windows else sheet
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -75,10 +82,20 @@ def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     """key, row_no and cells (texts) of every table row."""
     rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     cells = F.regexp_extract_all(F.col("row"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-    return pages.select(key, F.posexplode(rows).alias("row_no", "row")).select(key, "row_no", F.transform(cells, lambda c: F.trim(F.regexp_replace(c, "<[^>]+>", " "))).alias("cells"))
+    return pages.select(key, F.posexplode(rows).alias("row_no", "row")).select(key, "row_no", F.transform(cells, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))).alias("cells"))
 
 
 def read_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
     """path, parent, size and content of all files of a folder tree."""
     files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(folder)
-    return files.select("path", F.element_at(F.split("path", "/"), -2).alias("parent"), F.col("length").alias("size"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    return files.select("path", F.element_at(F.split("path", "/"), -2).alias("parent"), F.col("length").alias("size"), F.decode("content", "UTF-8").alias("content"))
+
+
+def read_through(wanted: DataFrame, landing: DataFrame, key: str, schema: str, version: int) -> DataFrame:
+    """key, state and doc of every wanted row: cached, if the landing rows (key, version, body) hold a document of
+    the version that parses; broken, if one that doesn't; else missing. The last two are to be fetched."""
+    found = landing.filter(F.col("version") == version).select(key, F.col("body"), F.from_json("body", schema).alias("doc"))
+    broken = F.col("doc").isNull() | F.forall(F.array(*[F.col(f"doc.{f.name}").isNull() for f in found.schema["doc"].dataType]), lambda x: x)
+    joined = wanted.join(found, key, "left")
+    state = F.when(F.col("body").isNull(), "missing").when(broken, "broken").otherwise("cached")
+    return joined.select(key, state.alias("state"), F.when(state == "cached", F.col("doc")).alias("doc"))

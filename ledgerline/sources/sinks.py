@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -51,28 +51,56 @@ def envelope(rows: DataFrame, timestamp: str, order: list[str], group: str) -> D
 
 
 def checked_write(df: DataFrame, path: str, sentinel: str, fmt: str = "parquet", **options) -> int:
-    """Writes beside `path`, reads back, compares the row count, asks for a row that meets `sentinel`,
-    and only then takes path's place. Returns the number of rows."""
+    """Writes beside `path`, counting the rows on the way, reads back, compares the counts, asks for a row that
+    meets `sentinel`, and only then takes path's place. Returns the number of rows. A table of an
+    earlier write is kept as path.old until the new one is in place; if a run dies between the two renames,
+    the next one puts it back."""
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.format(fmt).options(**options).save(staged)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).options(**options).save(staged)
     again = spark.read.schema(df.schema).format(fmt).options(**options).load(staged)
-    n, there = df.count(), again.count()
+    n, there = seen.get["n"], again.count()
     if n != there or not again.filter(sentinel).limit(1).count():
         raise ValueError(f"{staged}: {there} of {n} rows, or none with {sentinel}")
-    jvm = spark.sparkContext._jvm
-    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{staged}.old")
+    fs, target, old = restored(spark, path)
     had = fs.exists(target)
-    if had and not fs.rename(target, old) or not fs.rename(source, target):
+    if had and not fs.rename(target, old) or not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged), target):
         raise OSError(f"{path}: cannot take its place")
     if had:
         fs.delete(old, True)
     return n
 
 
+def restored(spark: SparkSession, path: str):
+    """The file system, path and place of the earlier table; a table that a broken run left there is put back."""
+    jvm = spark.sparkContext._jvm
+    target, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.old"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        elif not fs.rename(old, target):
+            raise OSError(f"{path}: cannot be restored")
+    return fs, target, old
+
+
 def coverage_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """metric, n, filled, percent, least, most, mean of numeric columns."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "metric", "value")
     return long.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("filled"), (F.count("value") * 100.0 / F.count(F.lit(1))).alias("percent"), F.min("value").alias("least"), F.max("value").alias("most"), F.avg("value").alias("mean"))
+
+
+def recreate(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Drops what is there and writes df."""
+    df.write.mode("overwrite").format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(path)
+
+
+def append_csv(df: DataFrame, path: str) -> None:
+    """Appends rows with a header in every file; missing values are empty."""
+    df.write.mode("append").options(header=True, emptyValue="").csv(path)
+
+
+def append_log(rows: DataFrame, path: str) -> None:
+    """Appends log rows (job, item, error) with the time of writing. Batches that write at once don't disturb each other."""
+    rows.withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.sources.sinks import checked_write, upsert
+from ledgerline.sources.sinks import checked_write, restored, upsert
 
 
 def pending(candidates: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -12,6 +13,13 @@ def pending(candidates: DataFrame, done: DataFrame, keys: list[str]) -> DataFram
     return candidates.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def job_states(log: DataFrame) -> DataFrame:
+    """job, done, failed, state (ok, partial, failed) and one error of each job's log rows (job, item, error)."""
+    made = log.groupBy("job").agg(F.count(F.lit(1)).alias("done"), F.count("error").alias("failed"), F.max("error").alias("error"))
+    state = F.when(F.col("failed") == 0, "ok").when(F.col("failed") < F.col("done"), "partial").otherwise("failed")
+    return made.withColumn("state", state)
+
+
 def run_upserts(spark: SparkSession, source: str, schema: str, target: str, keys: list[str], order: list[str], checkpoint: str) -> None:
     """Reads all files that arrived in `source` since the last run and merges them in the table
     `target`, latest wins. A repeated batch changes nothing, as the merge is idempotent."""
@@ -19,12 +27,8 @@ def run_upserts(spark: SparkSession, source: str, schema: str, target: str, keys
     def merge(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        try:
-            existing = spark.read.parquet(target)
-        except Exception as e:  # the first batch makes the table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            existing = batch.limit(0)
+        fs, path, _ = restored(spark, target)
+        existing = spark.read.parquet(target) if fs.exists(path) else batch.limit(0)
         ranked = existing.unionByName(batch, allowMissingColumns=True)
         checked_write(upsert(existing.limit(0), ranked, keys, order), target, f"{keys[0]} is not null")
 
