@@ -42,8 +42,10 @@ _NAMES = re.compile(rf"(?=.*(?:^|[_-]){_NAME}(?:$|[_-]))(?:{_NAME}|{_BOX})(?:[_-
 # Optional end tags: what an element's start ends, and what such an end does not reach across.
 _SIBLINGS = {"li": (("li",), ("ul", "ol", "menu", "dir", "table"))} | {t: (("dd", "dt"), ("dl", "table")) for t in ("dd", "dt")} | {t: (("td", "th"), ("tr", "table")) for t in ("td", "th")} | {"tr": (("tr",), ("table",))} | {t: (("tbody", "thead", "tfoot"), ("table",)) for t in ("tbody", "thead", "tfoot")}
 _SCOPE = frozenset("caption table td th".split())
-_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|$)|<!\[CDATA\[|<[!?][^>]*(?:>|$)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A quote opens a value only right behind the equals sign; inside an unquoted value it is a letter like any other.
+_ATTRIBUTES = r"(?:[^>\"'=]|=\s*\"[^\"]*(?:\"|$)|=\s*'[^']*(?:'|$)|=\s*[^\s\"'>][^\s>]*|[\"'=])*"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(?P<raw>{_RAW})\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|$)|<!\[CDATA\[|<[!?][^>]*(?:>|$)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>{_ATTRIBUTES})(?:>|$)", re.S | re.I)
+_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.I)
 
 
 def _boilerplate(tag: str, more: str, inside: bool) -> str:

@@ -44,3 +44,29 @@ def test_short_articles_beside_the_longest_count_less():
     assert _text(f"<article><p>{LONG * 5}<p>End</article><div>x</div><article>Card</article>") == [LONG * 5, "End"]
     posts = [f"<article><h2>{k}</h2><p>{LONG}</article>" for k in range(3)]
     assert _text("".join(posts)) == ["0", LONG, "1", LONG, "2", LONG]
+
+
+@pytest.mark.parametrize("attribute", ["data-x=it's", "title=\"it's > that\"", "data-x='a > \"b'", "data-x", "data-x=", "'", "a=b=c'"])
+def test_quotes_open_values_only_behind_an_equals_sign(attribute):
+    assert _text(f"<article><p>{LONG}</p><p {attribute}>{LONG}</p><p>it's {LONG}</p></article>") == [LONG, LONG, f"it's {LONG}"]
+
+
+def test_odd_pages():
+    assert _text(f"<p>{LONG}<!-- never closed <p>{LONG}") == [LONG]
+    assert _text(f"<p>{LONG}</p><p title='never closed>{LONG}</p>") == [LONG]
+    assert _text("<p></p>" * 50_000 + f"<p>{LONG} &#233;&eacute;&nbsp;x" + "</div>" * 50_000) == [f"{LONG} éé x"]
+    assert len(_text("<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>")) == 20_000
+
+
+def test_the_distribution_decides():
+    """Without articles, short lines on their own go and long ones stay, wherever they stand."""
+    lines = ["Home", "News", LONG, LONG, "By the author", LONG, "Next", "Top", "Legal", "Contact"]
+    page = "".join(f"<div>{x}</div>" for x in lines)
+    assert _text(page) == lines[:8]  # the window of three reaches two lines beyond a long one
+    assert _text("".join(f"<div>{x}</div>" for x in ["Home", "News", "Top", "Next"])) == []
+
+
+def test_repeated_pages(spark):
+    page = f"<article><p>{LONG}</p></article>"
+    found = html_text.extract(spark.createDataFrame([(1, page), (1, page), (2, None)], "page_id int, html string")).collect()
+    assert sorted((r.page_id, r.n_chars) for r in found) == [(1, len(LONG)), (1, len(LONG)), (2, 0)]
