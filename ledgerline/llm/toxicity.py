@@ -3,13 +3,15 @@
 Terms that occur far more often in documents labelled toxic than in others are learned from
 labelled rows: words, and beginnings of words, for languages that build words from stems. A
 document's words are looked up; a word that is no term runs through its Levenshtein automaton
-(distance one), intersected with the lexicon's trie, which catches misspelled terms. Each hit
-counts in its context, a window of words: hits that stand in quotation (quotation marks or a
-word of saying near by) are counted apart from plain ones, and hits that stand close together add
-up. A logistic regression turns the counts into a score.
+(distance one, two swapped letters are one error), intersected with the lexicon's trie, which catches
+misspelled terms; digits and signs inside a word are letters of it. A misspelled term of four letters
+counts only beside another hit, one of three never. Each hit counts in its context, a window of words:
+hits that stand in quotation (between an opening and a closing mark, or after a word of saying) are counted
+apart from plain ones, and hits that stand close together add up. An apostrophe inside a word is no mark. A logistic regression turns the counts into a score.
 
 Labels are learned from a bounded sample: TOXIC_ROWS and CLEAN_ROWS at most, the least by a hash
-of the id. Two thirds of it give the terms, the rest the regression's weights. Everything else
+of the id. Two thirds of it give the terms (all with enough evidence; each is in three toxic rows of the
+sample at least, which bounds them), the rest the regression's weights. Everything else
 sees all rows and whole texts.
 
 Defined cases: null and empty text scores like a text without any term; without labels of both
@@ -35,15 +37,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ledgerline.llm.common import materialize
 
 TOXIC_ROWS, CLEAN_ROWS = 6_000, 24_000
-#: Terms in the lexicon, and the least evidence (log likelihood ratio) for one.
-TERMS, EVIDENCE = 4_000, 30.0
+#: Least evidence (log likelihood ratio) for a term.
+EVIDENCE = 30.0
+#: Letters from which on a term may be misspelled, and from which on a misspelled one counts by itself.
+FUZZY, ALONE = 4, 5
 #: Lengths of word beginnings that may be terms; words in a context window on either side.
 STEMS, CONTEXT = (4, 5, 6), 10
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 
-_WORD = re.compile(r"[^\W\d_]+")
-_MARKS = re.compile("[\"'“”„‟«»‘’‹›]")
+_WORD = re.compile(r"[^\W_]+(?:[@$*!][^\W_]+)*")
+_MARK = "[\"'“”„‟«»‘’‹›]"
+#: A mark that opens before a word, or closes behind one.
+_MARKS = re.compile(rf"(?P<open>(?<!\w){_MARK}(?=\w))|(?<=\S){_MARK}(?!\w)")
 # Words of saying that announce a quotation, in four languages.
 _SAYING = frozenset("said says wrote writes quoted quote called calls called sagte sagt schrieb nannte dit disait écrit dijo dice escribió llamó".split())
 
@@ -61,7 +67,8 @@ class Trie:
 
     def within(self, word: str, distance: int) -> str | None:
         """A word of the trie within that edit distance. States of the word's Levenshtein automaton
-        (letters read, errors so far) walk the trie together with its nodes; a state that has
+        (letters read, errors so far) walk the trie together with its nodes (a letter wrong, missing, too
+    many, or two swapped); a state that has
         used up its errors can only read on letter by letter."""
         open_ = [(self.root, 0, 0)]
         size = len(word)
@@ -78,6 +85,8 @@ class Trie:
                 return node[""]
             if i < size:
                 open_.append((node, i + 1, errors + 1))
+                if i + 1 < size and (swapped := node.get(word[i + 1], {}).get(word[i])):
+                    open_.append((swapped, i + 2, errors + 1))
             for c, child in node.items():
                 if c:
                     if i < size:
@@ -111,13 +120,18 @@ class Matcher:
 
     def __init__(self, model: Model):
         self.model = model
-        fuzzy = [t for t in model.terms if len(t) >= 5]
+        fuzzy = [t for t in model.terms if len(t) >= FUZZY]
         self.trie = Trie(fuzzy)
-        # a word at distance one keeps the first or the second half of its term
+        # a word at distance one keeps the first or the second half of its term, or those of the
+        # term with its two middle letters swapped
         self.begins, self.ends = {}, {}
         for t in fuzzy:
-            self.begins.setdefault(t[: len(t) // 2], []).append((t, len(t), _letters(t)))
-            self.ends.setdefault(t[len(t) // 2 :], []).append((t, len(t), _letters(t)))
+            half, entry = len(t) // 2, (t, len(t), _letters(t))
+            swapped = t[: half - 1] + t[half] + t[half - 1] + t[half + 1 :]
+            for x in {t[:half], swapped[:half]}:
+                self.begins.setdefault(x, []).append(entry)
+            for x in {t[half:], swapped[half:]}:
+                self.ends.setdefault(x, []).append(entry)
         self.begin_sizes, self.end_sizes = (tuple(sorted({len(x) for x in d})) for d in (self.begins, self.ends))
         self.stem_lengths = sorted({len(s) for s in model.stems}, reverse=True)
         self.none: set[str] = set()
@@ -128,20 +142,21 @@ class Matcher:
         size, letters = len(word), None
         for n in self.begin_sizes:
             for t, m, mask in self.begins.get(word[:n], ()):
-                if -2 < m - size < 2 and (word[-1] == t[-1] or word[:-1] == t[:-1] or word[:-1] == t or word == t[:-1]):
+                if -2 < m - size < 2 and (word[-1] == t[-1] or word[:-1] == t[:-1] or word[:-1] == t or word == t[:-1] or word[-2:] == t[: -3 : -1]):
                     letters = letters or _letters(word)
                     if (letters & ~mask).bit_count() < 2 and (mask & ~letters).bit_count() < 2:
                         return True
         for n in self.end_sizes:
             for t, m, mask in self.ends.get(word[-n:], ()):
-                if -2 < m - size < 2 and (word[0] == t[0] or word[1:] == t[1:] or word[1:] == t or word == t[1:]):
+                if -2 < m - size < 2 and (word[0] == t[0] or word[1:] == t[1:] or word[1:] == t or word == t[1:] or word[:2] == t[1::-1]):
                     letters = letters or _letters(word)
                     if (letters & ~mask).bit_count() < 2 and (mask & ~letters).bit_count() < 2:
                         return True
         return False
 
     def look_up(self, word: str) -> tuple[int, float] | None:
-        """(kind, log odds): kind 0 for a term, 1 for a stem, 2 for a misspelled term."""
+        """(kind, log odds): kind 0 for a term, 1 for a stem, 2 for a misspelled term, 3 for one that needs
+        another hit beside it."""
         m = self.model
         if word in m.terms:
             return 0, m.terms[word]
@@ -151,7 +166,7 @@ class Matcher:
         if len(word) > 3 and self._near(word):
             term = self.trie.within(word, 1)
             if term:
-                return 2, m.terms[term]
+                return 2 if len(term) >= ALONE else 3, m.terms[term]
         if len(self.none) < self.KEPT:
             self.none.add(word)
         return None
@@ -166,22 +181,23 @@ def features(text: str, matcher: Matcher) -> list[float]:
     lower = text.lower()
     words = _WORD.findall(lower)
     found = {w: hit for w in set(words).difference(matcher.none) if (hit := matcher.look_up(w))}
-    if not found:
+    if all(k == 3 for k, _ in found.values()):
         return [0.0] * (N_FEATURES - 1) + [math.log1p(len(words))]
     at = [i for i, w in enumerate(words) if w in found]
     spans = [m.span() for m in _WORD.finditer(lower)]
     plain = quoted = strong = 0.0
     for i in at:
         a, b = max(0, i - CONTEXT), min(len(words) - 1, i + CONTEXT)
-        before, after = lower[spans[a][0] : spans[i][0]], lower[spans[i][1] : spans[b][1]]
-        says = _MARKS.search(before) and _MARKS.search(after) or not _SAYING.isdisjoint(words[a:i])
+        before = list(_MARKS.finditer(lower, max(0, spans[a][0] - 1), spans[i][0] + 1))
+        after = _MARKS.search(lower, spans[i][1] - 1, spans[b][1] + 1)
+        says = before and before[-1]["open"] and after and not after["open"] or not _SAYING.isdisjoint(words[a:i])
         if says:
             quoted += 1
         else:
             plain += 1
             strong = max(strong, found[words[i]][1])
     near = max(np.searchsorted(at, np.array(at) + 2 * CONTEXT, "right") - np.arange(len(at)))
-    kinds = [sum(1 for k, _ in found.values() if k == kind) for kind in range(3)]
+    kinds = [sum(1 for k, _ in found.values() if k == kind or kind == 2 and k == 3) for kind in range(3)]
     return [float(x) for x in (kinds[0], kinds[1], kinds[2])] + [strong, math.log1p(plain), math.log1p(quoted), math.log1p(float(near)), sum(w for _, w in found.values()) / (1 + math.log1p(len(words))), math.log1p(len(words))]
 
 
@@ -234,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     evidence = 2 * (logs(p, (p + n) * share) + logs(n, (p + n) * (1 - share)))
     odds = F.log((p + 0.5) / (p_all + 1)) - F.log((n + 0.5) / (n_all + 1))
     found = seen.filter((F.length("term") >= 3) & (p >= 3)).select("term", "stem", odds.alias("odds"), evidence.alias("evidence")).filter((F.col("evidence") >= EVIDENCE) & (F.col("odds") >= 2))
-    top = found.orderBy(F.desc("evidence"), "term", "stem").limit(TERMS).collect()  # bounded by TERMS
+    top = found.collect()  # bounded by the sample's words
     model.stems = {r["term"]: r["odds"] for r in top if r["stem"]}
     model.terms = {r["term"]: r["odds"] for r in top if not r["stem"]}
     x = sample.filter("part = 0").select("doc_id", "text", "toxic")
@@ -246,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
 
 def _features(docs: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
     """columns, and features (a list of numbers) of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     fields = [*(docs.schema[c] for c in columns), T.StructField("features", T.ArrayType(T.DoubleType()))]
     schema = to_arrow_schema(T.StructType(fields))
 

@@ -151,10 +151,51 @@ def test_toxicity_without_labels(spark):
     assert toxicity.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).first().score == 0
 
 
+def _distance(a, b):
+    """Edit distance with swaps of neighbours, by its definition."""
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
 def test_automaton():
-    trie = toxicity.Trie(["idiot", "clown"])
-    assert [trie.within(w, 1) for w in ("idiot", "idoit", "idiott", "idot", "xdiot", "clwn", "frown")] == ["idiot", None, "idiot", "idiot", "idiot", "clown", None]
-    assert trie.within("idoit", 2) == "idiot"
+    terms = ["idiot", "clown", "scum", "vile"]
+    trie = toxicity.Trie(terms)
+    assert [trie.within(w, 1) for w in ("idiot", "idoit", "idiott", "idot", "xdiot", "clwn", "frown", "iodit")] == ["idiot", "idiot", "idiot", "idiot", "idiot", "clown", None, None]
+    matcher = toxicity.Matcher(toxicity.Model({t: 5.0 for t in terms}, {}, []))
+    rnd = random.Random(6)
+    words = {"".join(rnd.choice("idotclwnsumve1") for _ in range(rnd.randrange(4, 7))) for _ in range(30_000)}
+    words |= {t[:k] + c + t[k + 1 :] for t in terms for k in range(len(t)) for c in "xi1"} | {t[:k] + t[k + 1 : k + 2] + t[k : k + 1] + t[k + 2 :] for t in terms for k in range(len(t))}
+    for w in words:
+        near = min(_distance(w, t) for t in terms) <= 1
+        assert (len(w) > 3 and matcher.look_up(w) is not None) == (len(w) > 3 and near), w
+
+
+def test_contexts():
+    matcher = toxicity.Matcher(toxicity.Model({"idiot": 5.0, "scum": 6.0}, {}, []))
+    plain, quoted = (lambda t: round(toxicity.features(t, matcher)[4], 3)), (lambda t: round(toxicity.features(t, matcher)[5], 3))
+    one = round(np.log1p(1), 3)
+    for text in ("don't be an idiot, don't", "you idiot's friend", '"fine" you idiot "fine"', "an id1ot", "an idoit", "an i$diot"):
+        assert (plain(text), quoted(text)) == (one, 0), text
+    for text in ('he was "an idiot" there', "the word 'idiot' is bad", "„so ein idiot“ stand da", "she said idiot to him", "«un idiot» va"):
+        assert (plain(text), quoted(text)) == (0, one), text
+    assert toxicity.features("some scun", matcher)[2] == 0  # a misspelled short term alone
+    assert toxicity.features("idiot and scun", matcher)[2] == 1
+
+
+def test_toxicity_of_odd_tables(spark):
+    labels = spark.createDataFrame(_toxic_corpus()[1], "doc_id long, quality int, toxic int")
+    assert not toxicity.toxicity(spark.createDataFrame([], "doc_id long, text string"), labels).collect()
+    rows, _ = _toxic_corpus()
+    long = (5_000, "plain words " * 200_000 + "nastyword")
+    docs = spark.createDataFrame([*rows, rows[0], (None, "nastyword"), long], "doc_id long, text string")
+    found = toxicity.toxicity(docs, labels).collect()
+    assert len(found) == len(rows) + 3 and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id == rows[0][0]}) == 1
 
 
 def test_language(spark):
