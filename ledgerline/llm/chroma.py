@@ -5,16 +5,18 @@ over rectangles read off an integral image, are cut at two bits each and packed
 for each frame. Two recordings are aligned by the histogram of the offsets at which their integers
 agree; at the best offset, the share of differing bits decides.
 
-Recordings with equal fingerprints form a class, and one stands for all. A link needs SHARED of
-the integers of the longer recording to agree at one offset, so two that link have an integer in
-common among the rarest of each, all but SHARED - 1; only those are joined, rarest first. Links are
-found between classes; each recording gets its class, its number of links (recordings, its copies
-included) and its best partner class.
+Recordings with equal fingerprints form a class, and one stands for all. Two classes link if at the offset
+where most of their integers agree these are SHARED of the shorter one's integers at least, OVERLAP of the
+shorter one lies beside the other, and at most ERRORS of the bits of that overlap differ. So an excerpt
+aligns with its recording, and few equal integers make a candidate that the bits decide on. The shorter
+class of a link has one of the agreeing integers among its rarest, all but SHARED - 1; only those are joined
+with the integers of longer classes. Links are found between classes; each recording gets its class,
+its number of links (recordings, its copies included) and its best partner class.
 
 Defined cases: null, empty or too short audio has no fingerprint, is a class of its own and has
 no links; silence has a fingerprint like any sound; equal histograms go to the offset of least
-size, equal partners to the smaller id; repeated rows with one id are copies; an empty table
-gives no rows; columns not asked for are ignored.
+size (of those the smaller), equal partners to the smaller id; repeated rows with one id are copies; an
+empty table gives no rows; columns not asked for are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from ledgerline.llm.common import materialize
 RATE, FRAME, HOP = 4_000, 1_024, 512
 #: Frames that a filter spans at most.
 SPAN = 16
-#: Share of a recording's integers that agree at one offset in a link, and of bits that may differ.
-SHARED, ERRORS = 0.4, 0.25
+#: Shares of the shorter recording's integers that agree and that overlap at the offset of a link, and of bits
+#: that may differ there.
+SHARED, OVERLAP, ERRORS = 0.15, 0.5, 0.25
 _PRINT = "id long, codes array<long>"
 
 
@@ -108,32 +111,34 @@ def fingerprints(media: DataFrame, id_col: str, audio_col: str) -> DataFrame:
     return media.select(F.col(id_col).cast("long").alias("id"), F.col(audio_col).alias("audio")).mapInArrow(run, _PRINT)
 
 
-def align(prints: DataFrame, shared: float = SHARED, errors: float = ERRORS) -> DataFrame:
-    """id, n_codes, class_id, n_links, best_class, offset and bit_error of each fingerprint."""
+def align(prints: DataFrame, shared: float = SHARED, overlap: float = OVERLAP, errors: float = ERRORS) -> DataFrame:
+    """id, n_codes, class_id, n_links, best_class, offset (place there less place here) and bit_error of
+    each fingerprint."""
     prints = materialize(prints.select("id", "codes", F.xxhash64("codes").alias("sign")))
     some = prints.filter(F.col("codes").isNotNull())
     classes = materialize(some.groupBy("sign", "codes").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("members")))
     n = F.size("codes")
-    need = F.ceil(n * shared)
-    places = classes.select("class_id", n.alias("n"), need.alias("need"), F.posexplode("codes").alias("at", "code"))
-    counts = places.groupBy("code").agg(F.count_distinct("class_id").alias("often"))
-    order = Window.partitionBy("class_id").orderBy("often", "code", "at")
-    ranked = places.join(counts, "code").withColumn("rank", F.row_number().over(order))
+    places = classes.select("class_id", n.alias("n"), F.explode(F.array_distinct("codes")).alias("code"))
+    counts = places.groupBy("code").agg(F.count(F.lit(1)).alias("often"))
     # codes of one class only cannot be shared, but they count among the rarest
-    rare = materialize(ranked.filter((F.col("rank") <= F.col("n") - F.col("need") + 1) & (F.col("often") > 1)).select("class_id", "code").distinct())
-    pairs = rare.join(rare.withColumnRenamed("class_id", "other"), "code").filter("class_id < other").select("class_id", "other").distinct()
+    counted = materialize(places.join(counts, "code"))
+    order = Window.partitionBy("class_id").orderBy("often", "code")
+    rare = counted.withColumn("rank", F.row_number().over(order)).filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * shared) + 1) & (F.col("often") > 1))
+    longer = counted.filter("often > 1").select("code", F.col("class_id").alias("other"), F.col("n").alias("m"))
+    pairs = rare.select("code", "class_id", "n").join(longer, "code").filter((F.col("m") > F.col("n")) | (F.col("m") == F.col("n")) & (F.col("other") > F.col("class_id"))).select("class_id", "other").distinct()
     left = classes.select("class_id", F.col("codes").alias("a"))
     right = classes.select(F.col("class_id").alias("other"), F.col("codes").alias("b"))
     both = pairs.join(left, "class_id").join(right, "other")
-    # the offset histogram of a pair
+    # the offset histogram of a pair: how many codes agree at each offset
     agree = F.flatten(F.transform("a", lambda x, i: F.transform(F.filter(F.transform("b", lambda y, j: F.struct(y.alias("y"), j.alias("j"))), lambda z: z["y"] == x), lambda z: z["j"] - i)))
     hits = both.select("class_id", "other", F.explode(agree).alias("offset")).groupBy("class_id", "other", "offset").agg(F.count(F.lit(1)).alias("hits"))
-    top = hits.groupBy("class_id", "other").agg(F.max(F.struct("hits", (-F.abs("offset")).alias("near"), "offset")).alias("top")).select("class_id", "other", "top.hits", "top.offset")
-    scored = top.join(left, "class_id").join(right, "other").filter(F.col("hits") >= F.ceil(F.greatest(F.size("a"), F.size("b")) * shared))
+    top = hits.groupBy("class_id", "other").agg(F.max(F.struct("hits", (-F.abs("offset")).alias("near"), (-F.col("offset")).alias("low"))).alias("top")).select("class_id", "other", "top.hits", (-F.col("top.low")).alias("offset"))
+    scored = top.join(left, "class_id").filter(F.col("hits") >= F.ceil(F.size("a") * shared)).join(right, "other")
     first = F.greatest(F.lit(0), -F.col("offset"))
     length = F.least(F.size("a") - first, F.size("b") - (first + F.col("offset")))
     bits = F.aggregate(F.zip_with(F.slice("a", first + 1, length), F.slice("b", first + F.col("offset") + 1, length), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    links = materialize(scored.withColumn("bit_error", bits / (32.0 * length)).filter(F.col("bit_error") <= errors).select("class_id", "other", "offset", "bit_error"))
+    long_enough = length >= F.ceil(F.size("a") * overlap)
+    links = materialize(scored.filter(long_enough).withColumn("bit_error", bits / (32.0 * length)).filter(F.col("bit_error") <= errors).select("class_id", "other", "offset", "bit_error"))
     ways = links.unionByName(links.select(F.col("other").alias("class_id"), F.col("class_id").alias("other"), (-F.col("offset")).alias("offset"), "bit_error"))
     sized = ways.join(classes.select(F.col("class_id").alias("other"), "members"), "other")
     best = sized.groupBy("class_id").agg(F.sum("members").alias("beside"), F.min(F.struct("bit_error", F.col("other").alias("best_class"), "offset")).alias("best"))
@@ -143,21 +148,30 @@ def align(prints: DataFrame, shared: float = SHARED, errors: float = ERRORS) ->
     return found.unionByName(none)
 
 
-def tones(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", samples: int = 256) -> DataFrame:
+def tones(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", samples: int = 256, every: int = 10) -> DataFrame:
     """The vectors as recordings: each component is a tone whose pitch follows its value. The test
-    tables hold no audio; this gives them a media column with copies and near copies."""
+    tables hold no audio; this gives them a media column. Each recording whose id is divisible by `every` has a
+    copy with the id -id - 1, made by rule: it begins 2 to 5 frames later (2 + (id / every) modulo 4), and noise of
+    a hundredth to a tenth of full scale is added ((1 + (id / every) modulo 10) hundredths)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = np.arange(samples)
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
-                audio = []
-                for v in part.column(1).to_pylist():
+                ids, audio = [], []
+                for i, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     x = np.nan_to_num(np.array([e or 0.0 for e in v or ()], float), posinf=0, neginf=0)
                     pitch = 440 * 2 ** (np.clip(np.round(x * 24), -24, 12) / 12)
                     wave = np.sin(2 * np.pi * np.cumsum(np.repeat(pitch, len(t))) / RATE)
+                    ids.append(i)
                     audio.append((wave * 20_000).astype("<i2").tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(audio, pa.binary())], ["id", "audio"])
+                    if i is not None and i >= 0 and i % every == 0:
+                        j = i // every
+                        copy = wave[(2 + j % 4) * HOP :]
+                        noise = np.random.default_rng(i).normal(0, (1 + j % 10) / 100, len(copy))
+                        ids.append(-i - 1)
+                        audio.append((np.clip(copy + noise, -1.5, 1.5) * 20_000).astype("<i2").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(audio, pa.binary())], ["id", "audio"])
 
     return vectors.select(F.col(id_col).cast("long"), vector_col).mapInArrow(run, "id long, audio binary")

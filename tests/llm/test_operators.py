@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, chroma, html_text, langid, packing, topk, toxicity
 
@@ -221,6 +222,59 @@ def test_chroma_aligns_a_shifted_noisy_copy(spark):
     assert found[4].n_links == found[5].n_links == found[6].n_links == 0
 
 
+def _brute_links(prints):
+    """All pairs of different fingerprints, by the definition of a link: {(a, b): (offset, bit error)}, a the shorter."""
+    out = {}
+    for i, a in prints.items():
+        for j, b in prints.items():
+            if a is None or b is None or a == b or (len(a), i) >= (len(b), j):
+                continue
+            hits: dict = {}
+            for x, p in enumerate(a):
+                for y, q in enumerate(b):
+                    if p == q:
+                        hits[y - x] = hits.get(y - x, 0) + 1
+            if not hits:
+                continue
+            offset = max(hits, key=lambda o: (hits[o], -abs(o), -o))
+            pairs = [(a[x], b[x + offset]) for x in range(len(a)) if 0 <= x + offset < len(b)]
+            error = sum((p ^ q).bit_count() for p, q in pairs) / 32 / len(pairs)
+            if hits[offset] >= -(-len(a) * 15 // 100) and 2 * len(pairs) >= len(a) and error <= chroma.ERRORS:
+                out[i, j] = offset, error
+    return out
+
+
+def test_chroma_query_against_all_pairs(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").limit(200)
+    some = vectors.unionByName(vectors.filter("vec_id % 50 = 0").withColumn("vec_id", F.col("vec_id") + 100_001))
+    prints = chroma.fingerprints(chroma.tones(some), "id", "audio")
+    codes = {r.id: r.codes for r in prints.collect()}
+    links = _brute_links(codes)
+    assert any(o for o, _ in links.values()) and any(e for _, e in links.values())
+    found = {r.id: r for r in chroma.align(prints).collect()}
+    assert set(found) == set(codes)
+    for i, r in found.items():
+        same = [j for j in codes if j != i and codes[j] == codes[i] and codes[i] is not None]
+        mine = {(b if a == i else a): ((o if a == i else -o), e) for (a, b), (o, e) in links.items() if i in (a, b)}
+        assert r.class_id == min([i, *same])
+        assert r.n_links == len(same) + len(mine)
+        if mine:
+            assert round(min(e for _, e in mine.values()), 9) == round(r.bit_error, 9)
+            assert r.offset in {o for j, (o, e) in mine.items() if round(e, 9) == round(r.bit_error, 9)}
+    planted = [i for i in codes if i < 0]
+    caught = sum(found[i].n_links > 0 and -i - 1 in {j for p in links for j in p if i in p} for i in planted)
+    assert caught >= 0.8 * len(planted)
+
+
+def test_chroma_odd_rows(spark):
+    silence, long = b"\0\0" * 20_000, (np.sin(np.arange(2_000_000) / 9) * 9_000).astype("<i2").tobytes()
+    rows = [(1, silence), (1, silence), (2, silence), (3, long), (4, b"x"), (None, silence)]
+    found = chroma.align(chroma.fingerprints(spark.createDataFrame(rows, "id long, audio binary"), "id", "audio")).collect()
+    assert len(found) == 6 and {r.n_links for r in found if r.class_id == 1} == {3}
+    none = spark.createDataFrame([], "id long, audio binary")
+    assert not chroma.align(chroma.fingerprints(none, "id", "audio")).collect()
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert not bpe.bpe_round_trip(none, ["doc_id"], P.path("word_bpe_49k.json")).collect()
