@@ -8,7 +8,8 @@ first, and the k-th score found there is shared with the search of all other sha
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; shorter
 vectors count as padded with zeros; equal scores go to the smaller id; equal vectors are
-candidates each; ids that repeat are kept apart except that a query never meets its own id; an
+candidates each; ids that repeat are kept apart except that a query never meets its own id; components so
+large that a score might not fit 64 bits are an error (ValueError), not a wrong score; an
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -113,8 +114,10 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     x = F.col(vector_col)
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     usable = vectors.filter(x.isNotNull() & F.col(id_col).isNotNull() & ~bad).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v"))
-    usable = materialize(usable)
-    n = usable.count()
+    usable = materialize(usable.filter(F.size("v") >= 0))
+    n, width, most = usable.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(F.array_max(F.transform("v", lambda e: F.abs(e.cast("double"))))), F.lit(0.0))).first()
+    if most**2 * width >= 2**63:
+        raise ValueError(f"{vector_col}: components up to {most / scale:g} in {width} places; scores might not fit 64 bits")
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-n // every // BLOCK))
 
     def packed(group: pa.Table) -> pa.Table:

@@ -105,6 +105,16 @@ def test_top_k(spark, monkeypatch):
     assert {tuple(r) for r in found} == wanted
 
 
+def test_top_k_of_odd_tables(spark):
+    schema = "vec_id long, embedding array<double>"
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e30]), (1, [1e30])], schema))
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1.0]), (1, [1.0]), (2, []), (None, [9.0]), (3, [1e7, 1.0])]
+    found = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, schema)).collect()))
+    # both rows with the id 0 ask, and meet all others; their answers share the query's ranks
+    assert [r[3] for r in found] == sorted([64 * 64 * 10**7 + 128 * 64] * 2 + [64 * 64] * 4 + [0] * 2, reverse=True)[: len(found)] and len(found) == 8
+
+
 PAGES = [
     ("<html><head><title>T</title></head><body><nav><a>Menu</a></nav><article><h1>A &amp; B</h1><p>One<br>two\n three<p>Four</article><footer>F</footer>", "A & B\n\nOne two three\n\nFour"),
     ("<body><div class='cookie-notice'>We use</div><main><p>Text &eacute;</p><aside>Side</aside><div id=comments><p>no</p></div><p>End</main>", "Text é\n\nEnd"),

@@ -127,3 +127,24 @@ def test_every_token_is_packed_once(stages):
         ends[r.sequence_id] += r.length
     assert max(ends.values()) <= 2048
     assert len(ends) <= 1.05 * sum(ends.values()) / 2048 + 1
+
+
+def _run(spark, folder, docs, labels):
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return pipeline.run(spark, str(folder))
+
+
+def test_an_empty_table(spark, tmp_path):
+    assert not _run(spark, tmp_path, [], []).collect()
+
+
+def test_ids_that_rows_share_and_a_very_long_text(spark, tmp_path):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    shared, long = [text(60), text(60), text(60)], text(200_000)
+    docs = [(5, t, "en", None, 1, None, None) for t in shared] + [(5, shared[0], "en", None, 1, None, None), (6, long, "en", None, 1, None, None)]
+    packed = _run(spark, tmp_path, docs + [(k, text(50), "en", None, 1, None, None) for k in range(100, 130)], []).collect()
+    assert sum(r.doc_id == 5 and r.piece == 0 for r in packed) == 3
+    assert sum(r.length for r in packed if r.doc_id == 6) > 200_000
