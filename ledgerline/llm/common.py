@@ -82,6 +82,14 @@ def materialize(df: DataFrame, packed: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle(df: DataFrame, since: int) -> DataFrame:
+    """materialize, then release all intermediate tables made since a mark but the new one."""
+    out = materialize(df)
+    spark = df.sparkSession
+    release(spark, since, _made[spark.sparkContext.applicationId][-1:])
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
