@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import jaccard_join, langid, packing, substring_dedup, toxicity
-from ledgerline.llm.common import materialize
+from ledgerline.llm.common import made_so_far, settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, mark = spark.read.parquet(f"{sf_dir}/documents.parquet"), made_so_far(spark)
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        docs = settle(stage(spark, docs, sf_dir), mark)
     return STAGES[-1][1](spark, docs, sf_dir)
