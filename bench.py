@@ -9,7 +9,7 @@ import time
 from ledgerline.plans import registry
 from ledgerline.session import get_session
 
-HEADLINE = ["flagship", "op_t2", "op_t8", "op_t16_a17", "op_t18_j11", "op_ratios_p6_p7_p8", "op_valuation_j14", "op_a9_a11_a12_a13_c1", "op_c3", "op_j6_f3", "op_j10_j12", "op_o4_o5_o8", "op_w1_w4", "op_f7"]
+HEADLINE = ["flagship", "op_t2", "op_t8", "op_t16_a17", "op_t18_j11", "op_ratios_p6_p7_p8", "op_valuation_j14", "op_a9_a11_a12_a13_c1", "op_c3", "op_j6_f3", "op_j10", "op_o4", "op_w1", "op_f7"]
 
 
 def main() -> None:

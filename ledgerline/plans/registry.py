@@ -85,7 +85,7 @@ def op_t11(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"WITH {FACTS_SQL} SELECT entity, concept, \"end\", fy, val FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept, fy ORDER BY filed DESC, seq) AS rn FROM facts WHERE date_diff('day', start, \"end\") + 1 BETWEEN 355 AND 380) WHERE rn = 1")
-def op_t12_t13(spark: SparkSession, sf: str) -> DataFrame:
+def op_t12(spark: SparkSession, sf: str) -> DataFrame:
     return periods.annual_series(facts(spark, sf), by="fy", instants=False).select("entity", "concept", "end", "fy", "val")
 
 
@@ -135,7 +135,7 @@ def op_t23_t24_t25(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"WITH {FACTS_SQL} SELECT entity, concept, \"end\", kind, val FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept, kind, \"end\" ORDER BY filed DESC) AS rn FROM facts WHERE filed <= DATE '2000-06-30') WHERE rn = 1")
-def op_t26_i2(spark: SparkSession, sf: str) -> DataFrame:
+def op_t26(spark: SparkSession, sf: str) -> DataFrame:
     return periods.as_known_at(facts(spark, sf), ["entity", "concept", "kind", "end"], "2000-06-30", "filed").select("entity", "concept", "end", "kind", "val")
 
 
@@ -244,7 +244,7 @@ def op_a8_a22_w12(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT c_nationkey, c_mktsegment, count(*) AS n, min(c_custkey) AS seq FROM customer GROUP BY 1, 2) SELECT c_nationkey, c_mktsegment AS mode FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY n DESC, seq) AS rn FROM c) WHERE rn = 1""")
-def op_a14_a15(spark: SparkSession, sf: str) -> DataFrame:
+def op_a14(spark: SparkSession, sf: str) -> DataFrame:
     return stats.mode_first_seen(table(spark, sf, "customer"), ["c_nationkey"], "c_mktsegment", "c_custkey")
 
 
@@ -265,7 +265,7 @@ def op_j1_j2_j16(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'no_row' WHEN toxic = 1 THEN 'error' ELSE 'matched' END AS state, CASE WHEN toxic = 0 THEN quality END AS quality FROM documents d LEFT JOIN labels l USING (doc_id)".replace("l.doc_id IS NULL", "l.toxic IS NULL"))
-def op_j3_j4_j5(spark: SparkSession, sf: str) -> DataFrame:
+def op_j3_j4(spark: SparkSession, sf: str) -> DataFrame:
     left, right = table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels")
     return joins.matched_or_why(left, right, "doc_id", F.col("toxic") == 1).select("doc_id", "state", F.when(F.col("state") == "matched", F.col("quality")).alias("quality"))
 
@@ -281,7 +281,7 @@ def op_j6_f3(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT c_custkey, 'listed' AS route FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'rejected' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def op_j7_j8_i1(spark: SparkSession, sf: str) -> DataFrame:
+def op_j8_i1(spark: SparkSession, sf: str) -> DataFrame:
     c, o = table(spark, sf, "customer").select("c_custkey"), table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
     rejected = incremental.pending(c, o, ["c_custkey"])
     return c.join(o, "c_custkey", "left_semi").select("c_custkey", F.lit("listed").alias("route")).unionByName(rejected.select("c_custkey", F.lit("rejected").alias("route")))
@@ -294,12 +294,12 @@ def op_j9(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_LATEST}, dp AS (SELECT *, date_diff('day', start, "end") + 1 AS d FROM latest) SELECT x.entity, x.concept, x.seq, y.seq AS prior_seq FROM dp x JOIN dp y ON x.entity = y.entity AND x.concept = y.concept AND x.seq <> y.seq AND date_diff('day', y."end", x."end") BETWEEN 350 AND 380 AND abs(x.d - y.d) <= 7""")
-def op_j10_j12(spark: SparkSession, sf: str) -> DataFrame:
+def op_j10(spark: SparkSession, sf: str) -> DataFrame:
     return joins.year_earlier_pairs(periods.latest_filed(facts(spark, sf))).select("entity", "concept", "seq", "prior_seq")
 
 
 @query(f"""WITH {_ANNUAL}, i AS (SELECT entity, fy, val FROM annual WHERE concept LIKE '1%'), eq AS (SELECT entity, fy, val FROM annual WHERE concept LIKE '2%') SELECT i.entity, i.fy, round(i.val / nullif(eq.val, 0), 6) AS roe FROM i JOIN eq ON i.entity = eq.entity AND i.fy = eq.fy""")
-def op_j13_t17(spark: SparkSession, sf: str) -> DataFrame:
+def op_j13(spark: SparkSession, sf: str) -> DataFrame:
     annual = periods.annual_series(facts(spark, sf))
     side = lambda digit, name: annual.filter(F.col("concept").startswith(digit)).select("entity", "fy", F.col("val").alias(name))
     return side("1", "income").join(side("2", "equity"), ["entity", "fy"]).select("entity", "fy", _r(C.safe_ratio("income", "equity")).alias("roe"))
@@ -323,7 +323,7 @@ def op_o2_o3(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT l_orderkey, l_extendedprice, rn FROM (SELECT DISTINCT l_orderkey, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey, l_linenumber, l_quantity) AS rn FROM lineitem) WHERE rn <= 3")
-def op_o4_o5_o8(spark: SparkSession, sf: str) -> DataFrame:
+def op_o4(spark: SparkSession, sf: str) -> DataFrame:
     rn = F.row_number().over(W.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     return table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", rn.alias("rn")).filter("rn <= 3")
 
@@ -361,7 +361,7 @@ _RULES = [("(?i)brass", "metal", 90), ("(?i)^standard", "standard", 70), ("(?i)p
 
 
 @query("SELECT p_partkey, CASE WHEN regexp_matches(p_type, '(?i)brass') THEN 'metal' WHEN regexp_matches(p_type, '(?i)^standard') THEN 'standard' WHEN regexp_matches(p_type, '(?i)plated|polished') THEN 'finish' ELSE 'other' END AS label, CASE WHEN regexp_matches(p_type, '(?i)brass') THEN 90 WHEN regexp_matches(p_type, '(?i)^standard') THEN 70 WHEN regexp_matches(p_type, '(?i)plated|polished') THEN 50 ELSE 0 END AS score FROM part")
-def op_p16_p17_p19_p20(spark: SparkSession, sf: str) -> DataFrame:
+def op_p16(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", C.first_match("p_type", _RULES).alias("m")).select("p_partkey", "m.label", "m.score")
 
 
@@ -371,7 +371,7 @@ def op_p18_f15(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<p[ >]')) AS paragraphs, len(regexp_extract_all(html, '<li[ >]')) AS items, len(regexp_extract_all(html, '<script')) AS scripts, regexp_extract(html, '<title>([^<]*)', 1) AS title, list_sort(list_distinct(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1))) AS links FROM pages")
-def op_f12_f13_f14_f20_f21(spark: SparkSession, sf: str) -> DataFrame:
+def op_f12_f13_f14(spark: SparkSession, sf: str) -> DataFrame:
     count = lambda p: F.regexp_count("html", F.lit(p)).cast("long")
     links = F.array_sort(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))))
     return table(spark, sf, "pages").select("page_id", count("<p[ >]").alias("paragraphs"), count("<li[ >]").alias("items"), count("<script").alias("scripts"), F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"), links.alias("links"))
@@ -403,7 +403,7 @@ def op_f23(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN '(' || printf('%d', p_partkey) || '.000,5)' WHEN 1 THEN printf('%d', p_partkey) || ',25%' ELSE 'n/d' END AS s FROM part)
 SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN -(p_partkey * 1000 + 0.5) WHEN 1 THEN p_partkey + 0.25 END::DOUBLE AS ar, CASE p_partkey % 3 WHEN 1 THEN p_partkey + 0.25 END::DOUBLE AS pct FROM t""")
-def op_f4_f5_f6(spark: SparkSession, sf: str) -> DataFrame:
+def op_f4_f5(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("p_partkey")
     text = F.when(key % 3 == 0, F.concat(F.lit("("), key.cast("string"), F.lit(".000,5)"))).when(key % 3 == 1, F.concat(key.cast("string"), F.lit(",25%"))).otherwise("n/d")
     return table(spark, sf, "part").select("p_partkey", C.argentine_number(text).alias("ar"), C.percent_number(text).alias("pct"))
@@ -421,7 +421,7 @@ def _early_late(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query(f"WITH {_EV} SELECT user_id, event_type, event_id, value FROM e WHERE last = 1")
-def op_w1_w4(spark: SparkSession, sf: str) -> DataFrame:
+def op_w1(spark: SparkSession, sf: str) -> DataFrame:
     early, late = _early_late(spark, sf)
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]
     existing = sinks.upsert(early.limit(0), early, keys, order)

@@ -15,7 +15,7 @@ def test_props_of_every_event_are_parsed(spark):
     assert found.count() == found.filter("k is not null").count() == spark.read.parquet(f"{SF}/events.parquet").count()
 
 
-@pytest.mark.parametrize("name, mode", [("op_w1_w4", "upsert"), ("op_w2", "insert_new")])
+@pytest.mark.parametrize("name, mode", [("op_w1", "upsert"), ("op_w2", "insert_new")])
 def test_a_merge_meets_existing_rows(spark, monkeypatch, name, mode):
     calls, real = [], getattr(sinks, mode)
 

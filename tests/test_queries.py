@@ -39,6 +39,3 @@ def test_query_equals_sql(spark, tables, name):
     assert len(a) == len(b)
     assert all(_same(x, y) for r, s in zip(a, b, strict=True) for x, y in zip(r, s, strict=True))
 
-
-def test_old_rule_runs(spark):
-    assert set(registry.queries()["op_t9"](spark, SF).columns) == {"entity", "concept", "value", "end", "strategy"}
