@@ -78,3 +78,21 @@ EXPRESSIONS = [
 def test_expression(spark, k):
     make, wanted = EXPRESSIONS[k]
     assert spark.range(1).select(make().alias("x")).first()["x"] == wanted
+
+
+def test_exact_percentiles(spark):
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import stats
+
+    rnd = random.Random(4)
+    groups = {"a": [rnd.gauss(0, 100) for _ in range(900)], "b": [5.0] * 40, "c": [-1.5], "d": [rnd.expovariate(1) * 10 ** rnd.randrange(-3, 9) for _ in range(300)] + [0.0] * 20, "e": [float(rnd.randrange(4)) for _ in range(100)]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("a", None), ("f", None)]
+    points = (0.0, 0.1, 0.5, 0.95, 0.99, 1.0)
+    found = {r.g: r["_p"] for r in stats.exact_percentiles(spark.createDataFrame(rows, "g string, v double"), "g", F.col("v"), points).collect()}
+    assert found.keys() == groups.keys()
+    for g, vs in groups.items():
+        assert np.allclose(found[g], np.quantile(vs, points), rtol=1e-12, atol=1e-12)
