@@ -47,8 +47,10 @@ PERCENT = 85
 GROUP = 2_000
 #: Classes of small groups that one task searches.
 TASK_CLASSES = 4_000
-#: Candidates whose long lists are probed at a time.
-PROBED = 16
+#: Candidates whose long lists are probed at first; four times as many each time after.
+PROBED = 8
+#: Candidates at a time from which on the long lists are merged instead.
+MERGED = 128
 
 _SIGNS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "n_shingles", "row", "sign", "sign2")])
 _SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shared", T.BinaryType())])
@@ -182,10 +184,13 @@ def _links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent:
         found = found[hits[found] + len(long_) >= need[found]]
         # probe the long lists for the candidates, the most promising first
         found = found[np.argsort(-hits[found], kind="stable")]
+        size = PROBED
         while len(found := found[label[found] != label[me]]):
-            some, found = found[:PROBED], found[PROBED:]
+            some, found, size = found[:size], found[size:], 4 * size
             have, left = hits[some], len(long_)
-            for k in long_:
+            if long_ and size > MERGED:  # many candidates: merging the long lists costs less than so many searches
+                have = have + np.bincount(np.concatenate([lists[first[k] : ends[k]] for k in long_]), minlength=count)[some]
+            for k in long_ if size <= MERGED else ():
                 left -= 1
                 at = lists[first[k] : ends[k]]
                 have = have + (at[np.minimum(np.searchsorted(at, some), len(at) - 1)] == some)
