@@ -3,6 +3,9 @@ period, file names, addresses and links."""
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -125,6 +128,21 @@ def leads_to_statements(url: Column) -> Column:
     return ~F.lower(url).endswith(".pdf") & url.rlike(STATEMENT_PAGE)
 
 
+def unescaped(text: Column | str) -> Column:
+    """All of HTML's character references decoded, once, in Arrow batches; Spark has no such function."""
+
+    def decode(batch: pd.Series) -> pd.Series:
+        return batch.map(html.unescape, na_action="ignore")
+
+    return F.pandas_udf(decode, "string")(col(text))
+
+
+def page_text(markup: Column | str) -> Column:
+    """Markup removed, character references decoded, white space collapsed."""
+    bare = F.regexp_replace(col(markup), "<[^>]+>", " ")
+    return F.trim(F.regexp_replace(unescaped(bare), r"(?U)\s+", " "))
+
+
 def page_structure(markup: Column | str) -> dict[str, Column]:
     """Tables, rows, cells of the first row, scripts."""
     count = lambda p: F.regexp_count(col(markup), F.lit(p)).cast("long")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import periods
+from ledgerline.operators import joins, periods
 from ledgerline.plans.base import query, rounded
 from ledgerline.plans.facts import FACTS_SQL, facts
 
@@ -104,3 +104,25 @@ def op_t17(spark: SparkSession, sf: str) -> DataFrame:
     side = lambda digit, name: annual.filter(F.col("concept").startswith(digit)).select("entity", "end", F.col("val").alias(name))
     roe = side("1", "income").join(side("2", "equity"), ["entity", "end"]).select("entity", F.lit("roe").alias("concept"), "end", C.safe_ratio("income", "equity").alias("val"))
     return rounded(periods.cagr(roe).select("entity", F.col("cagr").alias("roe_cagr")))
+
+
+@query(f"""WITH {FACTS_SQL}, annual AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept, "end" ORDER BY filed DESC, seq) AS rn FROM facts WHERE date_diff('day', start, "end") + 1 BETWEEN 355 AND 380 AND val IS NOT NULL) WHERE rn = 1)
+SELECT entity, concept, max("end") AS "end", round(arg_max(val, "end"), 4) AS eps_annual FROM annual GROUP BY 1, 2""")
+def op_r_eps_annual(spark: SparkSession, sf: str) -> DataFrame:
+    """The last clean annual figure, with the end that it comes from."""
+    last = periods.last_value(periods.clean_annual(facts(spark, sf)))
+    return rounded(last.select("entity", "concept", "end", F.col("val").alias("eps_annual")), 4)
+
+
+@query(f"""WITH {FACTS_SQL}, d AS (SELECT *, date_diff('day', start, "end") + 1 AS d FROM facts WHERE kind = 2), y AS (SELECT entity, concept, max("end") AS y_end FROM facts WHERE kind = 3 AND "end" < DATE '1998-01-01' GROUP BY 1, 2),
+newest AS (SELECT * FROM (SELECT d.*, row_number() OVER (PARTITION BY entity, concept ORDER BY "end" DESC, seq) AS rn FROM d JOIN y USING (entity, concept) WHERE abs(date_diff('day', y_end, start)) <= 7) WHERE rn = 1)
+SELECT p.entity, p.concept, p.seq, min(o.seq) AS prior_seq FROM newest p LEFT JOIN d o ON o.entity = p.entity AND o.concept = p.concept AND date_diff('day', o."end", p."end") BETWEEN 350 AND 380 AND abs(o.d - p.d) <= 7 GROUP BY 1, 2, 3""")
+def op_j12(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest part right behind the last year before 1998, with the same part a year earlier."""
+    rows = facts(spark, sf)
+    year = rows.filter((F.col("kind") == 3) & (F.col("end") < "1998-01-01")).groupBy("entity", "concept").agg(F.max("end").alias("y_end"))
+    parts = rows.filter("kind = 2")
+    near = parts.join(year, ["entity", "concept"]).filter(F.abs(F.datediff("start", "y_end")) <= 7)
+    newest = near.groupBy("entity", "concept").agg(F.max_by("seq", F.struct(F.col("end"), -F.col("seq"))).alias("seq"))
+    priors = joins.year_earlier_pairs(parts).groupBy("entity", "concept", "seq").agg(F.min("prior_seq").alias("prior_seq"))
+    return newest.join(priors, ["entity", "concept", "seq"], "left")

@@ -110,3 +110,9 @@ def op_f22(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.expr(_PAGE).alias("html"))
     found = rows.select("k", F.explode(S.page_finds("html")).alias("f")).filter(F.size("f.found") > 0)
     return found.select("k", "f.name", F.size("f.found").alias("n"), F.element_at("f.found", 1).alias("first"))
+
+
+@query("SELECT p_partkey AS k, 'café ' || chr(233) || ' – €' || p_partkey || ' &amp; ½ <b>' AS text FROM part")
+def op_f7_references(spark: SparkSession, sf: str) -> DataFrame:
+    page = _say("<p>caf&eacute;&nbsp;&#233; <b>&ndash; &#x20AC;", _k(), "</b>\n &amp;amp; &frac12; &lt;b></p>")
+    return _parts(spark, sf, html=page).select("k", S.page_text("html").alias("text"))
