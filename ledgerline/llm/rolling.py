@@ -1,10 +1,10 @@
 """Keys of all windows of a block of texts, by array operations.
 
-A key is one or two independent numbers of 64 bits (lanes). A word's comes from a keyed
-cryptographic hash of its bytes. A longer window's is made of the keys of two windows that cover
-it, by multiplying and shifting rounds that are no ring operation, level by level; so no pattern of
-letters or words makes different windows meet, as it does with a polynomial of a fixed modulus. Equal
-windows have equal keys wherever they stand. Two lanes are 128 bits: among the 1.7e13 windows of 100 TB
+A key is one or two independent numbers of 64 bits (lanes). A word's is made of its length and its
+bytes, eight at a time; a very long word's comes from a cryptographic hash. A longer window's is
+made of the keys of two windows that cover it, level by level. Both use salted multiplying and shifting rounds
+that are no ring operation; so no pattern of letters or words makes different windows meet, as it does
+with a polynomial of a fixed modulus. Equal windows have equal keys wherever they stand. Two lanes are 128 bits: among the 1.7e13 windows of 100 TB
 the expected number of different ones with equal keys is 4e-13.
 """
 
@@ -20,25 +20,13 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _KEY = b"windows of words"
+#: Bytes from which on a word is hashed as a whole; what is left of eight bytes that end a word.
+_LONG = 256
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: What is added before each of the two mixing rounds, by lane.
 _SALTS = [[np.uint64(x) for x in row] for row in np.random.default_rng(20240229).integers(1 << 62, 1 << 63, (2, 2), dtype=np.uint64)]
 
 
-class _Digests(dict):
-    """Keyed hashes of words; the short ones met first are remembered."""
-
-    REMEMBERED, LONGEST = 150_000, 24
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = blake2b(word, digest_size=16, key=_KEY).digest()
-        if len(self) < self.REMEMBERED and len(word) < self.LONGEST:
-            self[word] = found
-        return found
-
-
-_digests = _Digests()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit over the word (in place)."""
     x ^= x >> np.uint64(31)
@@ -69,10 +57,13 @@ def doubled(h: np.ndarray, length: int, lane: int = 0, done: int = 1) -> np.ndar
 
 
 def distinct_keys(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Distinct keys (n x lanes) in ascending order, the first place of each, which of them
-    every place has, and how often each occurs."""
-    order = np.argsort(a, kind="stable") if b is None else np.lexsort((b, a))
-    keys = a[order][:, None] if b is None else np.stack([a[order], b[order]], 1)
+    """Distinct keys (n x lanes) in ascending order, the first place of each (of two lanes), which of
+    them every place has, and how often each occurs."""
+    if b is None:
+        keys, which, count = np.unique(a, return_inverse=True, return_counts=True)
+        return keys[:, None], None, which, count
+    order = np.lexsort((b, a))
+    keys = np.stack([a[order], b[order]], 1)
     new = np.ones(len(order), bool)
     new[1:] = (keys[1:] != keys[:-1]).any(1)
     which = np.empty(len(order), np.int64)
@@ -151,17 +142,26 @@ class Words:
         self.start, self.end = np.flatnonzero(starts), np.flatnonzero(solid & ~after) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        kept = data[solid]
-        ends = np.concatenate([[0], np.cumsum(self.end - self.start)]).astype(np.int64)
-        self._coded = pa.Array.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(ends), pa.py_buffer(_LOWER[kept] if lower else kept)]).dictionary_encode()
-        self._lanes: np.ndarray | None = None
+        self._kept = np.concatenate([_LOWER[data[solid]] if lower else data[solid], np.zeros(8, np.uint8)])
+        self._lanes: dict[int, np.ndarray] = {}
 
     def lane(self, k: int) -> np.ndarray:
         """A lane of each word's key."""
-        if self._lanes is None:
-            digests = b"".join(map(_digests.__getitem__, self._coded.dictionary.to_pylist()))
-            self._lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)
-        return self._lanes[:, k][self._coded.indices.to_numpy(zero_copy_only=False)] if len(self.start) else np.zeros(0, np.uint64)
+        if k not in self._lanes:
+            eight = np.ndarray((len(self._kept) - 7,), "<u8", self._kept, 0, (1,))
+            lengths = self.end - self.start
+            first = np.cumsum(lengths) - lengths
+            h = mix(lengths.astype(np.uint64) + _SALTS[k][1])
+            short = lengths <= _LONG
+            for at in range(0, int(lengths[short].max(initial=0)), 8):
+                some = np.flatnonzero(short & (lengths > at)) if at else np.flatnonzero(short)
+                x = eight[first[some] + at] & _MASKS[np.minimum(lengths[some] - at, 8)]
+                h[some] = pair(h[some], x, k)
+            for i in np.flatnonzero(~short).tolist():
+                word = self._kept[first[i] : first[i] + lengths[i]].tobytes()
+                h[i] = int.from_bytes(blake2b(word, digest_size=16, key=_KEY).digest()[8 * k : 8 * k + 8], "little")
+            self._lanes[k] = h
+        return self._lanes[k]
 
     def windows(self, length: int, at: np.ndarray | None = None, lanes: int = 1) -> tuple[np.ndarray, ...]:
         """First words of the windows of that many words (those of `at` only), and their keys, lane by lane."""
