@@ -46,13 +46,15 @@ EPSILON, GAMMA, ETA = 0.03, 0.02, 4.0
 # A word with the single white space before it. Byte-level BPE's own pattern begins a word wherever one plain
 # white space stands between two other characters; any other white space stays inside a word here.
 _WORD = re.compile(r"(?:\A\s+|[ \n\t\r])?\S+(?:(?![ \n\t\r]\S)\s+\S+)*(?:\s+\Z)?|\A\s+\Z")
-_CUT = re.compile(r"(?<=\S)(?=[ \n\t\r]\S)")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_SPACES = re.compile(r"\s")
 _encoders: dict = {}
 
 
 class _Encoder:
     """The tokenizers library's ids as little-endian unsigned 32-bit integers. Text is cut in words, which the
-    tokenizer's word pattern never joins, and the ids of short words are remembered. New words go
+    tokenizer's word pattern never joins, and the ids of short words are remembered. Most cuts are single
+    spaces; only where other white space stands is a text looked at more closely. New words go
     through the same vocabulary as ranks, which is three times as fast; words with white space inside
     or a special token go through the library itself."""
 
@@ -68,32 +70,53 @@ class _Encoder:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # words behind a space
+        self.others: dict[str, bytes] = {}  # words with the white space before them
 
-    def words(self, text: str) -> list[str]:
-        out, at = [], 0
-        while len(text) - at > CHUNK and (m := _CUT.search(text, at + CHUNK)):
-            out += _WORD.findall(text[at : m.start()])
-            at = m.start()
-        return out + _WORD.findall(text[at:])
-
-    def word(self, word: str) -> bytes:
+    def encode(self, word: str) -> bytes:
         odd = self.odd.search(word)
         return array.array("I", self.tokenizer.encode(word, add_special_tokens=False).ids if odd else self.plain(word)).tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        known, get = self.known, self.known.get
-        words = self.words(text)
-        out = list(map(get, words))
+    def careful(self, text: str) -> bytes:
+        out = []
+        for w in _WORD.findall(text):
+            x = self.others.get(w)
+            if x is None:
+                x = self.encode(w)
+                if len(w) < LONGEST and len(self.others) < REMEMBERED // 2:
+                    self.others[w] = x
+            out.append(x)
+        return b"".join(out)
+
+    def chunk(self, text: str, spaced: bool) -> bytes:
+        """Ids of a text that stands behind a space (spaced) or begins."""
+        words, known = text.split(" "), self.known
+        out = list(map(known.get, words))
+        if not spaced:
+            out[0] = None
         if None in out:
             for k, x in enumerate(out):
                 if x is None:
                     w = words[k]
-                    out[k] = x = get(w) or self.word(w)
-                    if len(w) < LONGEST and len(known) < REMEMBERED:
-                        known[w] = x
+                    if not w or w[0].isspace() or w[-1].isspace():  # a run of white space
+                        return self.careful(f" {text}" if spaced else text)
+                    if k == 0 and not spaced:
+                        out[k] = self.careful(w)
+                    elif _SPACES.search(w):
+                        out[k] = self.careful(f" {w}")
+                    else:
+                        out[k] = x = known.get(w) or self.encode(f" {w}")
+                        if len(w) < LONGEST and len(known) < REMEMBERED:
+                            known[w] = x
         return b"".join(out)
 
+    def __call__(self, text: str) -> bytes:
+        out, at = [], 0
+        while len(text) - at > CHUNK and (m := _CUT.search(text, at + CHUNK)):
+            out.append(self.chunk(text[at : m.start()], at > 0))
+            at = m.end()
+        return b"".join([*out, self.chunk(text[at:], at > 0)]) if text else b""
+
 
 def _encoder(path: str, ranks_path: str) -> _Encoder:
     import public_tokenizers

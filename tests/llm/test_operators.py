@@ -69,7 +69,6 @@ def test_packed_words_are_the_librarys():
     parts = [" ", " ", "\n", "\t", "\r", "\xa0", "\x1c", "\x85", "\u2003", "\u3000", "\x0b", "\u200b", "a", "don't", "'s", "!", "12", "é", "e\u0301", "😀", "<|endoftext|>", "word", "\ufeff"]
     for _ in range(6_000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 14)))
-        assert "".join(encode.words(text)) == text
         assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
     long = " ".join(rnd.choice(parts) for _ in range(400_000))
     assert np.frombuffer(encode(long), "<u4").tolist() == t.encode(long, add_special_tokens=False).ids
