@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions.columns import relative_divergence, safe_ratio
+from ledgerline.session import written
 
 
 #: Buckets of a value's logarithm for each unit, and parts of one such bucket.
@@ -15,38 +16,38 @@ COARSE, FINE = 200, 1 << 16
 
 def exact_percentiles(df: DataFrame, by: str, value: Column, points: tuple[float, ...], name: str = "_p") -> DataFrame:
     """by and name: the linearly interpolated percentiles of each group, exact, by radix selection: count the
-    values by coarse buckets of their logarithm, then by fine parts of the buckets in which the wanted ranks lie, then
-    rank the different values of those parts. The counts are combined before they are shuffled, and no
-    task holds a group: a part is about a ten-millionth of it. Three passes over df."""
+    values by coarse buckets of their logarithm; of the buckets in which the wanted ranks lie, count the different
+    values by fine parts; then rank the values of the parts that hold a wanted rank. The counts are combined
+    before they are shuffled, and no task holds a group: a part is about a ten-millionth of it. Two passes over df;
+    the ranks (a few for each group) and the values of the buckets (a two-hundredth of a group for each
+    wanted rank) are written in between."""
     rows = df.select(by, value.alias("_v")).filter("_v is not null and not isnan(_v)")
     coarse = F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * COARSE)
-    first = rows.groupBy(by, coarse.alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     group = W.partitionBy(by)
+    first = rows.groupBy(by, coarse.alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     ranked = first.withColumns({"_before": F.sum("_n").over(group.orderBy("_k")) - F.col("_n"), "_all": F.sum("_n").over(group)})
     # the ranks on both sides of each point
     wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p * (F.col("_all") - 1)), F.ceil(p * (F.col("_all") - 1))) for p in points])))
     inside = lambda: (F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_n"))
-    ranks = ranked.withColumn("_r", F.explode(wanted)).filter(inside()).select(by, "_k", "_r", "_before", "_lo", "_hi")
-    targets = ranks.select(by, "_k", "_lo", "_hi", "_before").distinct()
+    ranks = written(ranked.withColumn("_r", F.explode(wanted)).filter(inside()).select(by, "_k", "_r", "_all", "_before", "_lo", "_hi"))
+    targets = ranks.select(by, "_k", "_lo", "_hi", F.col("_before").alias("_b")).distinct()
     fine = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * FINE)).otherwise(0)
-    near = rows.withColumn("_k", coarse).join(targets, [by, "_k"]).withColumn("_f", fine)
-    part = W.partitionBy(by, "_k").orderBy("_f")
-    second = near.groupBy(by, "_k", "_f").agg(F.count(F.lit(1)).alias("_n"), F.first("_before").alias("_b"))
-    second = second.withColumn("_before", F.col("_b") + F.sum("_n").over(part) - F.col("_n"))
-    ranks = ranks.select(by, "_k", "_r").join(second, [by, "_k"]).filter(inside()).select(by, "_k", "_f", "_r", "_before")
-    starts = ranks.select(by, "_k", "_f", F.col("_before").alias("_s")).distinct()
-    third = near.join(starts, [by, "_k", "_f"]).groupBy(by, "_k", "_f", "_v").agg(F.count(F.lit(1)).alias("_n"), F.first("_s").alias("_s"))
-    third = third.withColumn("_before", F.col("_s") + F.sum("_n").over(W.partitionBy(by, "_k", "_f").orderBy("_v")) - F.col("_n"))
-    found = ranks.select(by, "_k", "_f", "_r").join(third, [by, "_k", "_f"]).filter(inside())
-    values = found.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))  # two for each point
-    sizes = first.groupBy(by).agg(F.sum("_n").alias("_all"))
+    near = rows.withColumn("_k", coarse).join(targets, [by, "_k"]).groupBy(by, "_k", "_b", fine.alias("_f"), "_v").agg(F.count(F.lit(1)).alias("_n"))
+    near = written(near)
+    parts = near.groupBy(by, "_k", "_b", "_f").agg(F.sum("_n").alias("_n"))
+    parts = parts.withColumn("_before", F.col("_b") + F.sum("_n").over(W.partitionBy(by, "_k").orderBy("_f")) - F.col("_n"))
+    ranks = written(ranks.select(by, "_k", "_r", "_all").join(parts, [by, "_k"]).filter(inside()).select(by, "_k", "_f", "_r", "_all", F.col("_before").alias("_s")))
+    some = near.join(ranks.select(by, "_k", "_f", "_s").distinct(), [by, "_k", "_f"])
+    some = some.withColumn("_before", F.col("_s") + F.sum("_n").over(W.partitionBy(by, "_k", "_f").orderBy("_v")) - F.col("_n"))
+    found = ranks.drop("_s").join(some, [by, "_k", "_f"]).filter(inside())
+    values = found.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"), F.first("_all").alias("_all"))  # two for each point
 
     def at(p: float) -> Column:
         place = p * (F.col("_all") - 1)
         low, high = F.element_at("_m", F.floor(place)), F.element_at("_m", F.ceil(place))
         return low + (high - low) * (place - F.floor(place))
 
-    return values.join(sizes, by).select(by, F.array(*map(at, points)).alias(name))
+    return values.select(by, F.array(*map(at, points)).alias(name))
 
 
 def divergence_summary(df: DataFrame, metric: str, value: str) -> DataFrame:

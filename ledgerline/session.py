@@ -39,6 +39,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{found}/{uuid.uuid4().hex}"
 
 
+def written(df):
+    """df as a table in the shared folder, for small results that a plan needs more than once."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
