@@ -41,7 +41,7 @@ CHUNK = 1 << 20
 #: Pieces whose ranks one window task assigns.
 RANK_BUCKET = 20_000
 #: Share of the work that a round of the linear program does; weight of an open length, and its decay.
-EPSILON, GAMMA, ETA = 0.03, 0.02, 4.0
+EPSILON, GAMMA, ETA = 0.02, 0.02, 4.0
 
 # A word with the single white space before it. Byte-level BPE's own pattern begins a word wherever one plain
 # white space stands between two other characters; any other white space stays inside a word here.
