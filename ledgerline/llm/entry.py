@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, chroma, html_text, jaccard_join, langid, packing, substring_dedup, suffix_dedup, topk, toxicity
+from ledgerline.llm import bpe, chroma, exact_dedup, html_text, jaccard_join, langid, lexical, packing, periodic_runs, substring_dedup, suffix_dedup, topk, toxicity
 from ledgerline.llm.entry_sql import SQL
 
 
@@ -55,6 +55,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.plant(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, ["doc_id"]))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

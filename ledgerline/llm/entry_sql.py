@@ -35,4 +35,17 @@ spans AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER B
 kept AS (SELECT r, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, string_agg(byte, '' ORDER BY k) FILTER (NOT gone) AS kept FROM spans GROUP BY r)
 SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
 
-SQL = {"op4_exact_top_k_search": TOP_K, "op6_substring_dedup": SUBSTRINGS, "op9_ngram_jaccard_join": JACCARD, "op10_suffix_dedup": SUFFIXES}
+RANKED = r"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+all_ AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+wanted AS (SELECT i, item_id, term, count(*) AS qtf FROM (SELECT i, item_id, unnest(w) AS term FROM q) GROUP BY ALL),
+tf AS MATERIALIZED (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+df AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * all_.n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, all_ GROUP BY term, all_.n),
+s AS (SELECT i, item_id, r, doc_id, CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * tf.n * all_.n) // all_.l)))) AS BIGINT) AS score FROM wanted JOIN tf USING (term) JOIN df USING (term), all_ GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+
+EXACT = """WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+    row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""
+
+SQL = {"op4_exact_top_k_search": TOP_K, "op6_substring_dedup": SUBSTRINGS, "op9_ngram_jaccard_join": JACCARD, "op10_suffix_dedup": SUFFIXES, "op11_ranked_lexical_search": RANKED, "op13_exact_dedup": EXACT}
