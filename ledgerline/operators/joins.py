@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.functions.columns import inclusive_days, ticker_variants
+from ledgerline.functions.columns import ticker_variants
 
 
 def matched_or_why(left: DataFrame, right: DataFrame, key: str, failed: Column) -> DataFrame:
@@ -23,15 +23,6 @@ def variant_join(wanted: DataFrame, catalog: DataFrame, key: str, ticker: str) -
     return hits.withColumn("_rn", F.row_number().over(W.partitionBy(key).orderBy("_pos"))).filter("_rn = 1").drop("_rn", "_pos")
 
 
-def year_earlier_pairs(facts: DataFrame, days: tuple[int, int] = (350, 380), duration: int = 7) -> DataFrame:
-    """Pairs of periods of one series, about a year apart and equally long. The equality on the
-    series is what the join is dealt by; the interval is checked on its pairs."""
-    d = facts.select("entity", "concept", "seq", "end", inclusive_days("start", "end").alias("d"))
-    other = d.withColumnsRenamed({"seq": "prior_seq", "end": "prior_end", "d": "prior_d"})
-    near = F.datediff("end", "prior_end").between(*days) & (F.abs(F.col("d") - F.col("prior_d")) <= duration)
-    return d.join(other, ["entity", "concept"]).filter((F.col("seq") != F.col("prior_seq")) & near)
-
-
 def route_excluded(rows: DataFrame, excluded: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """rows whose key isn't excluded, and the others with excluded's reason."""
     return rows.join(excluded.select(key), key, "left_anti"), rows.join(excluded.select(key, "reason"), key)

@@ -72,3 +72,21 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = lambda segment: F.sum(F.when(F.col("c_mktsegment") == segment, balance)).cast("double")
     b = customers.groupBy(F.col("c_nationkey").alias("entity")).agg(F.sum(balance).cast("double").alias("equity"), held("BUILDING").alias("debt"), held("MACHINERY").alias("cash"), F.count(F.lit(1)).cast("double").alias("shares"))
     return b.join(o, "entity", "left")
+
+
+# SQL of the latest filed rows and of the trailing twelve months
+LATEST_SQL = FACTS_SQL + """, latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept, start, "end" ORDER BY filed DESC, seq) AS rn FROM facts) WHERE rn = 1)"""
+TTM_SQL = LATEST_SQL + """,
+dp AS (SELECT *, date_diff('day', start, "end") + 1 AS d FROM latest),
+qs AS (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY "end" DESC, seq) AS rn FROM dp WHERE d BETWEEN 85 AND 100),
+qg AS (SELECT *, abs(date_diff('day', lag("end") OVER (PARTITION BY entity, concept ORDER BY "end", rn DESC), start)) AS off FROM qs WHERE rn <= 4),
+a AS (SELECT entity, concept, sum(val) AS a_value, max("end") AS a_end FROM qg GROUP BY 1, 2 HAVING count(*) = 4 AND coalesce(max(off), 0) <= 5),
+yr AS (SELECT entity, concept, "end" AS y_end, val AS y_val FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY "end" DESC, seq) AS rn FROM dp WHERE d BETWEEN 355 AND 380) WHERE rn = 1),
+pt AS (SELECT * FROM (SELECT dp.entity, dp.concept, dp.seq AS p_seq, dp."end" AS p_end, dp.d AS p_d, dp.val AS p_val, row_number() OVER (PARTITION BY dp.entity, dp.concept ORDER BY dp."end" DESC, dp.seq) AS rn
+       FROM dp JOIN yr USING (entity, concept) WHERE dp.d <= 300 AND abs(date_diff('day', y_end, start)) <= 7) WHERE rn = 1),
+pr AS (SELECT * FROM (SELECT dp.entity, dp.concept, p_end, p_val, dp.val AS r_val, row_number() OVER (PARTITION BY dp.entity, dp.concept ORDER BY dp.seq) AS rn
+       FROM dp JOIN pt USING (entity, concept) WHERE dp.seq <> p_seq AND date_diff('day', dp."end", p_end) BETWEEN 350 AND 380 AND abs(dp.d - p_d) <= 7) WHERE rn = 1),
+ttm AS (SELECT k.entity, k.concept, coalesce(a_value, y_val + p_val - r_val, y_val) AS value,
+        CASE WHEN a_end IS NOT NULL THEN a_end WHEN r_val IS NOT NULL THEN p_end ELSE y_end END AS "end",
+        CASE WHEN a_end IS NOT NULL THEN 'A' WHEN y_val + p_val - r_val IS NOT NULL THEN 'B' WHEN y_end IS NOT NULL THEN 'C' END AS strategy
+        FROM (SELECT DISTINCT entity, concept FROM dp) k LEFT JOIN a USING (entity, concept) LEFT JOIN yr USING (entity, concept) LEFT JOIN pr USING (entity, concept))"""

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import joins, periods, ratios, screen, stats
-from ledgerline.plans import labels, series, storage, text  # noqa: F401  (they register their queries)
+from ledgerline.operators import intervals, joins, periods, ratios, screen, stats
+from ledgerline.plans import history, labels, series, storage, text  # noqa: F401  (they register their queries)
 from ledgerline.plans.base import QUERIES, SQL, Query, query
 from ledgerline.plans.base import r as _r
 from ledgerline.plans.base import rounded as _rounded
-from ledgerline.plans.facts import FACTS_SQL, WIDE_SQL, facts, wide
+from ledgerline.plans.facts import FACTS_SQL, LATEST_SQL, TTM_SQL, WIDE_SQL, facts, wide
 from ledgerline.session import table
 from ledgerline.sources import sinks
 from ledgerline.streaming import incremental
@@ -25,21 +25,7 @@ def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
 
-_LATEST = FACTS_SQL + """, latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept, start, "end" ORDER BY filed DESC, seq) AS rn FROM facts) WHERE rn = 1)"""
-_TTM = _LATEST + """,
-dp AS (SELECT *, date_diff('day', start, "end") + 1 AS d FROM latest),
-qs AS (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY "end" DESC, seq) AS rn FROM dp WHERE d BETWEEN 85 AND 100),
-qg AS (SELECT *, abs(date_diff('day', lag("end") OVER (PARTITION BY entity, concept ORDER BY "end", rn DESC), start)) AS off FROM qs WHERE rn <= 4),
-a AS (SELECT entity, concept, sum(val) AS a_value, max("end") AS a_end FROM qg GROUP BY 1, 2 HAVING count(*) = 4 AND coalesce(max(off), 0) <= 5),
-yr AS (SELECT entity, concept, "end" AS y_end, val AS y_val FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY "end" DESC, seq) AS rn FROM dp WHERE d BETWEEN 355 AND 380) WHERE rn = 1),
-pt AS (SELECT * FROM (SELECT dp.entity, dp.concept, dp.seq AS p_seq, dp."end" AS p_end, dp.d AS p_d, dp.val AS p_val, row_number() OVER (PARTITION BY dp.entity, dp.concept ORDER BY dp."end" DESC, dp.seq) AS rn
-       FROM dp JOIN yr USING (entity, concept) WHERE dp.d <= 300 AND abs(date_diff('day', y_end, start)) <= 7) WHERE rn = 1),
-pr AS (SELECT * FROM (SELECT dp.entity, dp.concept, p_end, p_val, dp.val AS r_val, row_number() OVER (PARTITION BY dp.entity, dp.concept ORDER BY dp.seq) AS rn
-       FROM dp JOIN pt USING (entity, concept) WHERE dp.seq <> p_seq AND date_diff('day', dp."end", p_end) BETWEEN 350 AND 380 AND abs(dp.d - p_d) <= 7) WHERE rn = 1),
-ttm AS (SELECT k.entity, k.concept, coalesce(a_value, y_val + p_val - r_val, y_val) AS value,
-        CASE WHEN a_end IS NOT NULL THEN a_end WHEN r_val IS NOT NULL THEN p_end ELSE y_end END AS "end",
-        CASE WHEN a_end IS NOT NULL THEN 'A' WHEN y_val + p_val - r_val IS NOT NULL THEN 'B' WHEN y_end IS NOT NULL THEN 'C' END AS strategy
-        FROM (SELECT DISTINCT entity, concept FROM dp) k LEFT JOIN a USING (entity, concept) LEFT JOIN yr USING (entity, concept) LEFT JOIN pr USING (entity, concept))"""
+_LATEST, _TTM = LATEST_SQL, TTM_SQL
 
 
 @query(f"WITH {_LATEST} SELECT entity, concept, kind, start, \"end\", val, filed FROM latest")
@@ -295,7 +281,7 @@ def op_j9(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {_LATEST}, dp AS (SELECT *, date_diff('day', start, "end") + 1 AS d FROM latest) SELECT x.entity, x.concept, x.seq, y.seq AS prior_seq FROM dp x JOIN dp y ON x.entity = y.entity AND x.concept = y.concept AND x.seq <> y.seq AND date_diff('day', y."end", x."end") BETWEEN 350 AND 380 AND abs(x.d - y.d) <= 7""")
 def op_j10(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.year_earlier_pairs(periods.latest_filed(facts(spark, sf))).select("entity", "concept", "seq", "prior_seq")
+    return intervals.year_earlier_pairs(periods.latest_filed(facts(spark, sf))).select("entity", "concept", "seq", "prior_seq")
 
 
 @query(f"""WITH {_ANNUAL}, i AS (SELECT entity, fy, val FROM annual WHERE concept LIKE '1%'), eq AS (SELECT entity, fy, val FROM annual WHERE concept LIKE '2%') SELECT i.entity, i.fy, round(i.val / nullif(eq.val, 0), 6) AS roe FROM i JOIN eq ON i.entity = eq.entity AND i.fy = eq.fy""")

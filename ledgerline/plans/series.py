@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
-from ledgerline.operators import joins, periods
+from ledgerline.operators import intervals, periods
 from ledgerline.plans.base import query, rounded
 from ledgerline.plans.facts import FACTS_SQL, facts
 
@@ -124,5 +124,5 @@ def op_j12(spark: SparkSession, sf: str) -> DataFrame:
     parts = rows.filter("kind = 2")
     near = parts.join(year, ["entity", "concept"]).filter(F.abs(F.datediff("start", "y_end")) <= 7)
     newest = near.groupBy("entity", "concept").agg(F.max_by("seq", F.struct(F.col("end"), -F.col("seq"))).alias("seq"))
-    priors = joins.year_earlier_pairs(parts).groupBy("entity", "concept", "seq").agg(F.min("prior_seq").alias("prior_seq"))
+    priors = intervals.year_earlier_pairs(parts).groupBy("entity", "concept", "seq").agg(F.min("prior_seq").alias("prior_seq"))
     return newest.join(priors, ["entity", "concept", "seq"], "left")
