@@ -1,4 +1,5 @@
-"""Queries over whole histories: periods near each other, what was known when, trailing months at every period end."""
+"""Queries over whole histories: periods near each other, what was known when, trailing months at every period end,
+tables and views that batches keep up to date."""
 
 from __future__ import annotations
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from ledgerline.operators import intervals, periods
 from ledgerline.plans.base import query, rounded
 from ledgerline.plans.facts import FACTS_SQL, LATEST_SQL, TTM_SQL, facts
+from ledgerline.session import scratch, table
+from ledgerline.sources.buckets import BucketTable
+from ledgerline.streaming.maintenance import Jobs
 
 _LENGTH = "date_diff('day', start, \"end\") + 1"
 
@@ -69,3 +73,49 @@ dp AS (SELECT l.*, at_, {_LENGTH} AS d FROM latest l JOIN ends e ON l.entity = e
 def op_t8_rolling(spark: SparkSession, sf: str) -> DataFrame:
     """The trailing twelve months as every period end saw them."""
     return rounded(intervals.rolling_twelve_months(periods.latest_filed(facts(spark, sf))), 2)
+
+
+_THIRDS = ("filed < '1997-06-30'", "filed >= '1997-06-30' and filed < '1999-12-31'", "filed >= '1999-12-31'")
+
+
+@query(f"""WITH {TTM_SQL}, last AS (SELECT c_nationkey AS entity, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS price FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+quote AS (SELECT entity, arg_max(price, day) AS price FROM last GROUP BY 1)
+SELECT entity, concept, round(value, 2) AS value, "end", strategy, price, CASE WHEN value > 0 THEN round(price / value, 6) END AS multiple FROM ttm LEFT JOIN quote USING (entity)""")
+def op_i2_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of filings and two of quotes, in between the view is brought up to date; at last the view."""
+    jobs = Jobs(spark, scratch(spark), buckets=16)
+    rows = facts(spark, sf)
+    orders, customers = table(spark, sf, "orders"), table(spark, sf, "customer")
+    quotes = orders.join(customers, orders.o_custkey == customers.c_custkey).select(F.col("c_nationkey").alias("entity"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("price"))
+    jobs.load_financials(rows.filter(_THIRDS[0]))
+    jobs.load_quotes(quotes.filter("day < '1998-01-01'"))
+    jobs.refresh()
+    jobs.load_financials(rows.filter(_THIRDS[2]))
+    jobs.load_quotes(quotes.filter("day >= '1998-01-01'"))
+    jobs.load_financials(rows.filter(_THIRDS[1]))
+    jobs.refresh()
+    found = jobs.view.read(spark).select("entity", "concept", "value", "end", "strategy", "price", "multiple")
+    return found.withColumns({"value": F.round("value", 2), "multiple": F.round("multiple", 6)})
+
+
+_NEWEST = "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"
+
+
+@query(_NEWEST)
+def op_w1_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The later events first, then the earlier ones, which may not replace what is newer."""
+    held = BucketTable(scratch(spark), ("user_id", "event_type"), 16)
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value", "ts")
+    for k in (1, 0, 1):
+        held.upsert(events.filter(F.col("event_id") % 2 == k), ["user_id", "event_type"], ["ts", "event_id"])
+    return held.read(spark).select("user_id", "event_type", "event_id", "value")
+
+
+@query("SELECT o_custkey, o_orderkey, CASE WHEN o_custkey % 3 = 0 AND o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS price FROM orders WHERE o_custkey % 3 > 0 OR o_orderstatus = 'F' OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def op_w4_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third customer is reloaded with finished orders at twice the price, as far as there are any."""
+    held = BucketTable(scratch(spark), ("o_custkey",), 16)
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("price"), "o_orderstatus")
+    held.replace_groups(orders, "o_custkey")
+    held.replace_groups(orders.filter("o_custkey % 3 = 0 and o_orderstatus = 'F'").withColumn("price", F.col("price") * 2), "o_custkey")
+    return held.read(spark).select("o_custkey", "o_orderkey", "price")

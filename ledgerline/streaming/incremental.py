@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.sinks import checked_write, restored, upsert
+from ledgerline.sources.buckets import BucketTable
 
 
 def pending(candidates: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -20,17 +20,9 @@ def job_states(log: DataFrame) -> DataFrame:
     return made.withColumn("state", state)
 
 
-def run_upserts(spark: SparkSession, source: str, schema: str, target: str, keys: list[str], order: list[str], checkpoint: str) -> None:
+def run_upserts(spark: SparkSession, source: str, schema: str, target: str, keys: list[str], order: list[str], checkpoint: str, buckets: int = 64) -> None:
     """Reads all files that arrived in `source` since the last run and merges them in the table
-    `target`, latest wins. A repeated batch changes nothing, as the merge is idempotent."""
-
-    def merge(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        fs, path, _ = restored(spark, target)
-        existing = spark.read.parquet(target) if fs.exists(path) else batch.limit(0)
-        ranked = existing.unionByName(batch, allowMissingColumns=True)
-        checked_write(upsert(existing.limit(0), ranked, keys, order), target, f"{keys[0]} is not null")
-
+    `target`, latest wins. Only the buckets of keys that a batch touches are rewritten; a repeated batch changes nothing."""
+    table = BucketTable(target, tuple(keys), buckets)
     stream = spark.readStream.schema(schema).json(source)
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(lambda batch, _: table.upsert(batch, keys, order)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

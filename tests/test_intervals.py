@@ -34,7 +34,7 @@ def test_year_earlier_pairs(spark):
 
 
 def test_pairs_compared_grow_with_the_matches(spark):
-    """One series of 100,000 weekly periods: 5e9 pairs by a self-join, a few for each match by bins."""
+    """One series of 100,000 periods, three days apart: 5e9 pairs by a self-join, a few for each match by bins."""
     n = 100_000
     at = F.date_add(F.lit("1000-01-01").cast("date"), (F.col("id") * 3).cast("int"))
     df = spark.range(n).select(F.lit("e").alias("entity"), F.lit("c").alias("concept"), F.col("id").cast("int").alias("seq"), F.date_sub(at, 89).alias("start"), at.alias("end"), F.lit(1.0).alias("val"))
