@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.tables import table_rows
+
 #: Forms that carry financial statements.
 FORMS = ("10-K", "10-Q", "20-F", "40-F", "10-K/A", "10-Q/A", "20-F/A", "40-F/A", "6-K")
 _POINT = "struct<start:string,end:string,val:double,fy:int,fp:string,form:string,filed:string,frame:string>"
@@ -79,10 +81,8 @@ def columnar_json(documents: DataFrame, column: str, wanted: list[str]) -> DataF
 
 
 def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """key, row_no and cells (texts) of every table row."""
-    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    cells = F.regexp_extract_all(F.col("row"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-    return pages.select(key, F.posexplode(rows).alias("row_no", "row")).select(key, "row_no", F.transform(cells, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))).alias("cells"))
+    """key, row_no and cells (texts) of every row of the page's tables."""
+    return table_rows(pages, key, html).select(key, "row_no", "cells")
 
 
 def read_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
