@@ -65,20 +65,20 @@ def _least_common(n: Column, t: float, q: int) -> Column:
     return F.ceil(n * ((1.5 * t - 1) * 2 / (2 - t)) - 1e-9) - 1
 
 
-def _prefixes(names: DataFrame, counts: DataFrame | None, t: float, q: int) -> DataFrame:
-    """_name and _gram: the rarest grams of each name, one of which any partner shares."""
-    grams = names.select("_name", F.explode(_grams(F.col("_name"), q)).alias("_gram"))
-    if counts is None:
-        return grams
-    # a row of one name at most holds its own grams
-    known = grams.join(counts, "_gram").groupBy("_name").agg(F.array_sort(F.collect_list(F.struct("_n", "_gram"))).alias("_g"))
-    keep = F.size("_g") - F.greatest(_least_common(F.length("_name"), t, q), F.lit(1)) + 1
-    return known.select("_name", F.explode(F.slice("_g", 1, F.greatest(keep, F.lit(1)).cast("int"))).alias("_x")).select("_name", "_x._gram")
+def _prefixes(names: DataFrame, counts: DataFrame, t: float, q: int) -> DataFrame:
+    """_id, _length and _gram: the rarest grams of each name, one of which any partner shares."""
+    grams = names.select("_id", F.length("_name").alias("_length"), F.explode(_grams(F.col("_name"), q)).alias("_gram"))
+    # a row holds the grams of one name
+    known = grams.join(counts, "_gram").groupBy("_id", "_length").agg(F.array_sort(F.collect_list(F.struct("_n", "_gram"))).alias("_g"))
+    keep = F.size("_g") - F.greatest(_least_common(F.col("_length"), t, q), F.lit(1)) + 1
+    return known.select("_id", "_length", F.explode(F.slice("_g", 1, F.greatest(keep, F.lit(1)).cast("int"))).alias("_x")).select("_id", "_length", F.xxhash64("_x._gram").alias("_gram"))
 
 
 def candidates(left: DataFrame, right: DataFrame, percent: float) -> DataFrame:
-    """Pairs (_name, _other) of distinct texts that may reach the similarity; left and right hold distinct _name."""
+    """Pairs (_name, _other) of distinct texts that may reach the similarity; left and right hold distinct _name. Names meet as
+    hashes; different names of one hash only make more candidates."""
     t = percent / 100
+    left, right = (x.select("_name", F.xxhash64("_name").alias("_id")) for x in (left, right))
     pairs = None
     for q in (2, 1):
         a, b = left, right
@@ -87,27 +87,35 @@ def candidates(left: DataFrame, right: DataFrame, percent: float) -> DataFrame:
             a, b = left.filter(short), right.filter(short)
         grams = a.union(b).distinct().select(F.explode(_grams(F.col("_name"), q)).alias("_gram"))
         counts = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-        x, y = _prefixes(a, counts, t, q), _prefixes(b, counts, t, q).withColumnRenamed("_name", "_other")
-        n, m = F.length("_name"), F.length("_other")
-        met = x.join(y, "_gram").filter(2 * F.least(n, m) >= t * (n + m) - 1e-9).select("_name", "_other")
+        x = _prefixes(a, counts, t, q)
+        y = _prefixes(b, counts, t, q).withColumnsRenamed({"_id": "_other_id", "_length": "_m"})
+        met = x.join(y, "_gram").filter(2 * F.least("_length", "_m") >= t * (F.col("_length") + F.col("_m")) - 1e-9).select("_id", "_other_id")
         pairs = met if pairs is None else pairs.union(met)
-    both_empty = left.join(right.withColumnRenamed("_name", "_other"), (F.col("_name") == F.col("_other")) & (F.col("_name") == "")).select("_name", "_other")
-    return pairs.union(both_empty).distinct()
+    empty = F.xxhash64(F.lit(""))
+    pairs = pairs.union(left.filter("_name = ''").select("_id", empty)).distinct()
+    return pairs.join(left, "_id").join(right.select(F.col("_name").alias("_other"), F.col("_id").alias("_other_id")), "_other_id").select("_name", "_other")
+
+
+def _scored(left: DataFrame, right: DataFrame, percent: float) -> DataFrame:
+    """_name, _other and score of all pairs of distinct texts that are alike."""
+    if not 200 / 3 < percent <= 100:
+        raise ValueError(f"percent={percent}: over 66.7 and up to 100")
+    found = candidates(left.select("_name").dropna().distinct(), right.select(F.col("_other").alias("_name")).dropna().distinct(), percent)
+    return found.withColumn("score", indel_ratio("_name", "_other")).filter(F.col("score") >= percent - 1e-9)
 
 
 def similar_names(left: DataFrame, right: DataFrame, a: str, b: str, percent: float = 85.0) -> DataFrame:
     """Pairs of rows whose names a and b are alike by at least `percent` (over 200 / 3, below which grams promise nothing), with
     the score. Equal names are compared once, however many rows bear them. Column names of both sides differ; NULL names match nothing."""
-    if not 200 / 3 < percent <= 100:
-        raise ValueError(f"percent={percent}: over 66.7 and up to 100")
     x, y = left.withColumn("_name", sorted_tokens(a)), right.withColumn("_other", sorted_tokens(b))
-    found = candidates(x.select("_name").dropna().distinct(), y.select(F.col("_other").alias("_name")).dropna().distinct(), percent)
-    scored = found.withColumn("score", indel_ratio("_name", "_other")).filter(F.col("score") >= percent - 1e-9)
-    return x.join(scored, "_name").join(y, "_other").drop("_name", "_other")
+    return x.join(_scored(x, y, percent), "_name").join(y, "_other").drop("_name", "_other")
 
 
 def best_names(left: DataFrame, right: DataFrame, key: str, a: str, b: str, other: str, percent: float = 85.0) -> DataFrame:
-    """Each left row (unique by key) with the most similar right row, the least `other` on ties, or with NULLs."""
-    found = similar_names(left.select(key, a), right.select(other, b), a, b, percent)
-    best = found.groupBy(key).agg(F.max_by(F.struct(other, b, "score"), F.struct(F.col("score"), -F.col(other))).alias("_best"))
-    return left.join(best, key, "left").select(*left.columns, F.col("_best")[other].alias(other), F.col("_best")[b].alias(b), F.col("_best.score").alias("score"))
+    """Each left row (unique by key) with the most similar right row, the least `other` on ties, or with NULLs. The best is
+    found once for each distinct name."""
+    x, y = left.withColumn("_name", sorted_tokens(a)), right.select(other, b, sorted_tokens(b).alias("_other"))
+    least = y.dropna(subset=["_other"]).groupBy("_other").agg(F.min_by(F.struct(other, b), other).alias("_row"))
+    order = F.struct(F.col("score"), -F.col("_row")[other])
+    best = _scored(x, y, percent).join(least, "_other").groupBy("_name").agg(F.max_by(F.struct("_row", "score"), order).alias("_best"))
+    return x.join(best, "_name", "left").select(*left.columns, F.col("_best._row")[other].alias(other), F.col("_best._row")[b].alias(b), F.col("_best.score").alias("score"))

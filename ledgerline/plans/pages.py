@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
 from ledgerline.functions import rules
+from ledgerline.functions import statements as S
 from ledgerline.operators import similarity
 from ledgerline.plans.base import query
 from ledgerline.session import table
@@ -38,6 +39,19 @@ def op_f21_pages(spark: SparkSession, sf: str) -> DataFrame:
     return tables.page_structure(table(spark, sf, "pages"), "page_id", "html").select("page_id", "tables", "rows", "scripts")
 
 
+_ADDRESS = {"action": r'(?i)action="([^"]+)"', "href": r'(?i)href="([^"]+)"', "src": r'(?i)src="([^"]+)"', "aif2": r"(?i)(aif2)", "function": r"(function\s+[A-Za-z0-9_]+)"}
+
+
+@query("WITH p AS (SELECT page_id, html || '<form action=\"/aif2/x' || page_id || '\">function  go' || page_id % 7 AS h FROM pages), f AS ("
+    + " UNION ALL ".join(f"SELECT page_id, '{n}' AS name, regexp_extract_all(h, '{x}', 1) AS found FROM p" for n, x in _ADDRESS.items())
+    + " UNION ALL SELECT page_id, 'controller', list_sort(list_distinct(regexp_extract_all(h, '/([A-Za-z]+)/[A-Za-z0-9_\\-]+', 1))) FROM p) SELECT * FROM f WHERE len(found) > 0")
+def op_f22_addresses(spark: SparkSession, sf: str) -> DataFrame:
+    """Form targets, links, sources and the like of every page, with a form and a function more."""
+    more = F.concat(F.lit('<form action="/aif2/x'), F.col("page_id").cast("string"), F.lit('">function  go'), (F.col("page_id") % 7).cast("string"))
+    found = table(spark, sf, "pages").select("page_id", F.explode(S.page_addresses(F.concat("html", more))).alias("f"))
+    return found.select("page_id", "f.*").filter(F.size("found") > 0)
+
+
 # names of every kind, and some that only look like one
 _ENDINGS = ("Avales SGR", "Garantia Reciproca", "FCI Renta", "Fondos", "Fideicomiso Uno", "Banco", "Bancor", "Aseguradora", "Mercados", "Broker", "Gerente", "Pymes", "Cooperativa Ltda", "S.A.", "S.A", "SRL", "XSGRX", "Seguros y Fondos", "S.Ax")
 _NAMED = f"SELECT c_custkey, c_name || ' ' || [{', '.join(repr(x) for x in _ENDINGS)}][1 + c_custkey % {len(_ENDINGS)}] AS name FROM customer"
@@ -86,7 +100,7 @@ def op_c8_names(spark: SparkSession, sf: str) -> DataFrame:
     wanted = part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("description"))
     slip = lambda x: F.when(F.col("p_partkey") % 3 == 0, F.replace(x, F.lit("i"), F.lit("ie"))).otherwise(x)
     catalogue = part.groupBy(slip(F.concat_ws("  ", "p_brand", "p_type", "p_name")).alias("entry")).agg(F.min("p_partkey").alias("entry_id"))
-    return similarity.best_names(wanted, catalogue, "p_partkey", "description", "entry", "entry_id", 90.0)
+    return similarity.best_names(wanted, catalogue, "p_partkey", "description", "entry", "entry_id", 95.0)
 
 
 query()(op_c8_names)
