@@ -84,12 +84,13 @@ TTM = TtmRule()
 TTM_OLD = TtmRule(partial=(170, 290), start=5, prior=(355, 380), duration=5, prior_newest=True)
 
 
-def trailing_twelve_months(facts: DataFrame, rule: TtmRule = TTM) -> DataFrame:
+def trailing_twelve_months(facts: DataFrame, rule: TtmRule = TTM, carry: tuple[str, ...] = (), sources: bool = False) -> DataFrame:
     """entity, concept, value, end, strategy. A: the newest four quarters if they follow each other;
-    B: the newest year plus the part after it less the same part a year earlier; C: the newest year."""
+    B: the newest year plus the part after it less the same part a year earlier; C: the newest year.
+    carry: columns that are the same in all rows of a series; sources: adds rows, the seq of the rows that made the value."""
     # every window and the aggregation partition by the keys: one shuffle at most
     series = W.partitionBy(*KEYS)
-    dp = facts.select(*KEYS, "seq", "start", "end", "val").withColumns({"_d": inclusive_days("start", "end")})
+    dp = facts.select(*KEYS, "seq", "start", "end", "val", *carry).withColumns({"_d": inclusive_days("start", "end")})
     dp = dp.withColumn("_year", F.max(F.when(F.col("_d").between(*rule.annual), F.struct("end", (-F.col("seq")).alias("s"), "val"))).over(series))
     part = F.col("start").isNotNull() & F.col("_d").between(*rule.partial) & (F.abs(F.datediff("start", "_year.end")) <= rule.start)
     dp = dp.withColumn("_part", F.max(F.when(part, F.struct("end", (-F.col("seq")).alias("s"), F.col("_d").alias("d"), "val"))).over(series))
@@ -103,12 +104,17 @@ def trailing_twelve_months(facts: DataFrame, rule: TtmRule = TTM) -> DataFrame:
         priors = F.max(F.when(prior, F.struct("end", (-F.col("seq")).alias("s"), "val")))
     else:
         priors = F.min(F.when(prior, F.struct("seq", "val")))
-    made = dp.groupBy(*KEYS).agg(F.count_if(newest).alias("n"), F.max(F.when(newest & (F.col("_rn") < 4), F.col("_off"))).alias("off"), F.sum(F.when(newest, F.col("val"))).alias("sum"), F.max(F.when(newest, F.col("end"))).alias("last"), F.first("_year").alias("y"), F.first("_part").alias("p"), priors.alias("r"))
+    made = dp.groupBy(*KEYS).agg(F.count_if(newest).alias("n"), F.max(F.when(newest & (F.col("_rn") < 4), F.col("_off"))).alias("off"), F.sum(F.when(newest, F.col("val"))).alias("sum"), F.max(F.when(newest, F.col("end"))).alias("last"), F.first("_year").alias("y"), F.first("_part").alias("p"), priors.alias("r"), *[F.first(c).alias(c) for c in carry], *([F.array_sort(F.collect_list(F.when(newest, F.col("seq")))).alias("q")] if sources else []))
     four = (F.col("n") == 4) & (F.coalesce("off", F.lit(0)) <= rule.gap)
     a_value, a_end = F.when(four, F.col("sum")), F.when(four, F.col("last"))
     b_value = F.col("y.val") + F.col("p.val") - F.col("r.val")
     strategy = F.when(a_end.isNotNull(), "A").when(b_value.isNotNull(), "B").when(F.col("y.end").isNotNull(), "C")
-    return made.select(*KEYS, F.coalesce(a_value, b_value, "y.val").alias("value"), F.when(strategy == "A", a_end).when(strategy == "B", F.col("p.end")).otherwise(F.col("y.end")).alias("end"), strategy.alias("strategy"))
+    found = [*KEYS, F.coalesce(a_value, b_value, "y.val").alias("value"), F.when(strategy == "A", a_end).when(strategy == "B", F.col("p.end")).otherwise(F.col("y.end")).alias("end"), strategy.alias("strategy"), *carry]
+    if sources:
+        prior_seq = -F.col("r.s") if rule.prior_newest else F.col("r.seq")
+        rows = F.when(strategy == "A", F.col("q")).when(strategy == "B", F.array_sort(F.array(-F.col("y.s"), -F.col("p.s"), prior_seq))).when(strategy == "C", F.array(-F.col("y.s")))
+        found.append(rows.alias("rows"))
+    return made.select(*found)
 
 
 def last_value(facts: DataFrame, keys: list[str] = KEYS) -> DataFrame:

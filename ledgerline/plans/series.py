@@ -12,18 +12,18 @@ from ledgerline.plans.base import query, rounded
 from ledgerline.plans.facts import FACTS_SQL, facts
 
 _PRIORITIES = [("1-URGENT", "A", 1), ("2-HIGH", "A", 2), ("3-MEDIUM", "A", 3), ("4-NOT SPECIFIED", "B", 1), ("5-LOW", "B", 2)]
-_PRIORITY_SQL = "prio(tag, concept, priority) AS (VALUES " + ", ".join(map(str, _PRIORITIES)) + ")"
+PRIORITY_SQL = "prio(tag, concept, priority) AS (VALUES " + ", ".join(map(str, _PRIORITIES)) + ")"
 # without the first tag for some entities, and without its newest years for others
-_TAGGED = FACTS_SQL + """, tagged AS (SELECT * EXCLUDE (concept), concept AS tag FROM facts WHERE NOT (concept LIKE '1%' AND entity % 3 = 0) AND NOT (concept LIKE '1%' AND entity % 2 = 0 AND "end" > DATE '1996-12-31'))"""
+TAGGED_SQL = FACTS_SQL + """, tagged AS (SELECT * EXCLUDE (concept), concept AS tag FROM facts WHERE NOT (concept LIKE '1%' AND entity % 3 = 0) AND NOT (concept LIKE '1%' AND entity % 2 = 0 AND "end" > DATE '1996-12-31'))"""
 
 
-def _tagged(spark: SparkSession, sf: str) -> DataFrame:
+def tagged(spark: SparkSession, sf: str) -> DataFrame:
     first, e = F.col("concept").startswith("1"), F.col("entity")
     rows = facts(spark, sf).filter(~(first & (e % 3 == 0)) & ~(first & (e % 2 == 0) & (F.col("end") > "1996-12-31")))
     return rows.withColumnRenamed("concept", "tag")
 
 
-def _priorities(spark: SparkSession, rows=None) -> DataFrame:
+def priorities(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or _PRIORITIES, "tag string, concept string, priority int")
 
 
@@ -40,22 +40,22 @@ def op_t3(spark: SparkSession, sf: str) -> DataFrame:
     return periods.preferred_unit(rows).groupBy("entity", "concept", "unit").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {_TAGGED}, {_PRIORITY_SQL}, j AS (SELECT t.*, concept, priority, min(priority) OVER (PARTITION BY entity, concept) AS best FROM tagged t JOIN prio USING (tag)) SELECT entity, concept, tag, count(*) AS n, max("end") AS last FROM j WHERE priority = best GROUP BY ALL""")
+@query(f"""WITH {TAGGED_SQL}, {PRIORITY_SQL}, j AS (SELECT t.*, concept, priority, min(priority) OVER (PARTITION BY entity, concept) AS best FROM tagged t JOIN prio USING (tag)) SELECT entity, concept, tag, count(*) AS n, max("end") AS last FROM j WHERE priority = best GROUP BY ALL""")
 def op_t4(spark: SparkSession, sf: str) -> DataFrame:
-    return _counted(periods.resolve_first(_tagged(spark, sf), _priorities(spark)))
+    return _counted(periods.resolve_first(tagged(spark, sf), priorities(spark)))
 
 
-@query(f"""WITH {_TAGGED}, {_PRIORITY_SQL}, m AS (SELECT entity, concept, tag, max("end") AS last, min(priority) AS priority, count(*) AS n FROM tagged JOIN prio USING (tag) GROUP BY ALL) SELECT entity, concept, tag, n, last FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY last DESC, priority) AS rn FROM m) WHERE rn = 1""")
+@query(f"""WITH {TAGGED_SQL}, {PRIORITY_SQL}, m AS (SELECT entity, concept, tag, max("end") AS last, min(priority) AS priority, count(*) AS n FROM tagged JOIN prio USING (tag) GROUP BY ALL) SELECT entity, concept, tag, n, last FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY last DESC, priority) AS rn FROM m) WHERE rn = 1""")
 def op_t5(spark: SparkSession, sf: str) -> DataFrame:
-    return _counted(periods.resolve_recent(_tagged(spark, sf), _priorities(spark)))
+    return _counted(periods.resolve_recent(tagged(spark, sf), priorities(spark)))
 
 
-@query(f"""WITH {_TAGGED}, c AS (SELECT *, CASE WHEN tag < '4' THEN 'A' ELSE 'B' END AS concept FROM tagged), m AS (SELECT entity, concept, tag, max("end") AS last, count(*) AS n, CASE tag WHEN '3-MEDIUM' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 99 END AS priority FROM c WHERE NOT (tag = '3-MEDIUM' AND entity % 4 > 0) GROUP BY ALL)
+@query(f"""WITH {TAGGED_SQL}, c AS (SELECT *, CASE WHEN tag < '4' THEN 'A' ELSE 'B' END AS concept FROM tagged), m AS (SELECT entity, concept, tag, max("end") AS last, count(*) AS n, CASE tag WHEN '3-MEDIUM' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 99 END AS priority FROM c WHERE NOT (tag = '3-MEDIUM' AND entity % 4 > 0) GROUP BY ALL)
 SELECT entity, concept, tag, n, last FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY priority, tag) AS rn FROM m) WHERE rn = 1""")
 def op_t6(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _tagged(spark, sf).filter(~((F.col("tag") == "3-MEDIUM") & (F.col("entity") % 4 > 0)))
+    rows = tagged(spark, sf).filter(~((F.col("tag") == "3-MEDIUM") & (F.col("entity") % 4 > 0)))
     rows = rows.withColumn("concept", F.when(F.col("tag") < "4", "A").otherwise("B"))
-    return _counted(periods.resolve_priority(rows, _priorities(spark, [("3-MEDIUM", "A", 1), ("1-URGENT", "A", 2)])))
+    return _counted(periods.resolve_priority(rows, priorities(spark, [("3-MEDIUM", "A", 1), ("1-URGENT", "A", 2)])))
 
 
 @query(f"""WITH {FACTS_SQL}, t AS (SELECT *, CASE WHEN concept < '2' OR (concept < '3' AND entity % 2 = 0) OR (concept < '4' AND entity % 4 = 0 AND kind > 1) THEN 'ifrs-full' ELSE 'us-gaap' END AS taxonomy FROM facts WHERE entity % 6 > 0 OR concept < '4'),
