@@ -1,7 +1,8 @@
 """N-gram Jaccard join by T-occurrence search.
 
-A document is the set of keys of its word n-grams (64 bits each). Documents with equal sets (by a
-signature of 128 bits) form a class and one of them stands for all. A set of n shingles can only link
+A document is the set of keys of its word n-grams (64 bits each, salted anew in each run, so that no text can be
+written to meet another's). Documents with equal sets (by a signature of 128 bits, half of it from a second, independent key
+of each n-gram) form a class and one of them stands for all. A set of n shingles can only link
 with sets that share at least T = ceil(n * 85 / 100) of them, so every class counts how many of its
 shingles occur in other classes at all: those with fewer than T are alone and go no further. The others
 keep their shared shingles, rarest first; two that link have a shingle in common among the n - T + 1 rarest.
@@ -39,7 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.common import NO_ID, ask, column, each_block, materialize, owners, pack_columns, row_key, shares, text_blocks, total_bytes, unpack, with_replies
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.rolling import Words, mix, text_buffer
+from ledgerline.llm.rolling import Salts, Words, fresh_salts, mix, text_buffer
 
 N = 4
 PERCENT = 85
@@ -58,11 +59,12 @@ _EDGES = "a long, b long"
 
 
 class Shingles:
-    """Distinct shingle keys of each document of a block, ascending by document and key."""
+    """Distinct shingle keys of each document of a block, ascending by document and key. twice: a second, independent
+    key of each beside it."""
 
-    def __init__(self, documents: pa.Table, n: int):
-        words = Words(*text_buffer(documents.column("text")), lower=True)
-        at, h = words.windows(n)
+    def __init__(self, documents: pa.Table, n: int, salts: Salts, twice: bool = False):
+        words = Words(*text_buffer(documents.column("text")), lower=True, salts=salts)
+        at, h, *more = words.windows(n, lanes=1 + twice)
         counts = np.diff(words.first)
         short = np.flatnonzero((counts > 0) & (counts < n))
         doc = np.concatenate([words.text[at], short])
@@ -72,18 +74,20 @@ class Shingles:
         new = np.ones(len(h), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
         self.doc, self.hash = doc[new], h[new]
+        if twice:
+            self.second = np.concatenate([*more, words.wholes(short, 1)])[order][new]
         self.size = np.bincount(self.doc, minlength=documents.num_rows)
         self.ids = column(documents, "doc_id")
 
     def signs(self) -> list[np.ndarray]:
-        """Two numbers that stand for each document's set; 0 without shingles."""
+        """Two independent numbers that stand for each document's set, one from each key of its shingles; 0 without shingles."""
         some = np.flatnonzero(self.size)
         starts = (np.cumsum(self.size) - self.size)[some]
         out = []
-        for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        for keys in (self.hash, self.second):
             sums = np.zeros(len(self.size), np.uint64)
             if len(some):
-                sums[some] = mix(np.add.reduceat(mix(self.hash ^ np.uint64(salt)), starts) ^ self.size[some].astype(np.uint64))
+                sums[some] = mix(np.add.reduceat(mix(keys.copy()), starts) ^ self.size[some].astype(np.uint64))
             out.append(sums.view(np.int64))
         return out
 
@@ -96,12 +100,12 @@ def _least(n: int | np.ndarray, percent: int):
 class _Counts:
     """The question how many classes each shingle occurs in (as a rounded logarithm)."""
 
-    def __init__(self, n: int, percent: int, n_owners: int):
-        self.n, self.percent, self.n_owners = n, percent, n_owners
+    def __init__(self, n: int, percent: int, n_owners: int, salts: Salts):
+        self.n, self.percent, self.n_owners, self.salts = n, percent, n_owners, salts
 
     def chosen(self, documents: pa.Table, replies: dict[int, bytes]) -> Shingles:
         """The shingles of the block's documents that stand for a class."""
-        s = Shingles(documents, self.n)
+        s = Shingles(documents, self.n, self.salts)
         keep = np.zeros(len(s.size), bool)
         keep[np.frombuffer(replies[-1], np.int32)] = True
         keep = keep[s.doc]
@@ -299,10 +303,11 @@ def _joined(docs: DataFrame, columns: list[str], n: int, percent: int, group: in
     row that stands for its class), class_id and component, component_id (null without a doc_id)."""
     spark = docs.sparkSession
     blocks = text_blocks(docs, columns, "text")
+    salts = fresh_salts()
 
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, documents, _ in each_block(batches, False):
-            s = Shingles(documents, n)
+            s = Shingles(documents, n, salts, twice=True)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (s.ids, s.size, row_key(block, np.arange(len(s.size))), *s.signs())], _SIGNS.names)
 
     signed = materialize(blocks.select("block", "payload").mapInArrow(signs, _SIGNS))
@@ -310,7 +315,7 @@ def _joined(docs: DataFrame, columns: list[str], n: int, percent: int, group: in
     leader = F.min(F.struct("doc_id", "row"))
     classes = materialize(signed.filter("n_shingles > 0").groupBy("sign", "sign2", "n_shingles").agg(leader.alias("lead")).select("sign", "sign2", "n_shingles", "lead.*"))
     size = total_bytes(blocks)
-    counts = _Counts(n, percent, owners(spark, size // 6))
+    counts = _Counts(n, percent, owners(spark, size // 6), salts)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

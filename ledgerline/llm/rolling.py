@@ -4,12 +4,14 @@ A key is one or two independent numbers of 64 bits (lanes). A word's is made of
 bytes, eight at a time; a very long word's comes from a cryptographic hash. A longer window's is
 made of the keys of two windows that cover it, level by level. Both use salted multiplying and shifting rounds
 that are no ring operation; so no pattern of letters or words makes different windows meet, as it does
-with a polynomial of a fixed modulus. Equal windows have equal keys wherever they stand. Two lanes are 128 bits: among the 1.7e13 windows of 100 TB
+with a polynomial of a fixed modulus. Operators whose texts may be written to make keys meet draw the salts anew for each
+run (fresh_salts) and ship them with the plan, so that nobody who writes a text knows them. Equal windows have equal keys wherever they stand. Two lanes are 128 bits: among the 1.7e13 windows of 100 TB
 the expected number of different ones with equal keys is 4e-13.
 """
 
 from __future__ import annotations
 
+import secrets
 from hashlib import blake2b
 
 import numpy as np
@@ -24,7 +26,8 @@ _KEY = b"windows of words"
 _LONG = 256
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: What is added before each of the two mixing rounds, by lane.
-_SALTS = [[np.uint64(x) for x in row] for row in np.random.default_rng(20240229).integers(1 << 62, 1 << 63, (2, 2), dtype=np.uint64)]
+Salts = list[list[np.uint64]]
+_SALTS: Salts = [[np.uint64(x) for x in row] for row in np.random.default_rng(20240229).integers(1 << 62, 1 << 63, (2, 2), dtype=np.uint64)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,21 +40,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def pair(x: np.ndarray, y: np.ndarray, lane: int = 0) -> np.ndarray:
+def fresh_salts() -> Salts:
+    """Salts of two lanes that only this run knows."""
+    return [[np.uint64(secrets.randbits(64)) for _ in range(2)] for _ in range(2)]
+
+
+def pair(x: np.ndarray, y: np.ndarray, lane: int = 0, salts: Salts = _SALTS) -> np.ndarray:
     """Key of what the keys x and y cover, in this order."""
-    h = mix(y + _SALTS[lane][0])
+    h = mix(y + salts[lane][0])
     h ^= x
-    h += _SALTS[lane][1]
+    h += salts[lane][1]
     return mix(h)
 
 
-def doubled(h: np.ndarray, length: int, lane: int = 0, done: int = 1) -> np.ndarray:
+def doubled(h: np.ndarray, length: int, lane: int = 0, done: int = 1, salts: Salts = _SALTS) -> np.ndarray:
     """Keys of all windows of `length` places, from those of `done` places."""
     while done < length:
         step = min(done, length - done)
         if len(h) <= step:
             return h[:0]
-        h = pair(h[:-step], h[step:], lane)
+        h = pair(h[:-step], h[step:], lane, salts)
         done += step
     return h
 
@@ -129,8 +137,8 @@ class Words:
     more); text: each word's text.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        self.data = data
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, salts: Salts = _SALTS):
+        self.data, self.salts = data, salts
         solid = ~SPACE[data]
         before, after = np.empty(len(data), bool), np.empty(len(data), bool)
         before[1:], after[:-1] = solid[:-1], solid[1:]
@@ -151,15 +159,16 @@ class Words:
             eight = np.ndarray((len(self._kept) - 7,), "<u8", self._kept, 0, (1,))
             lengths = self.end - self.start
             first = np.cumsum(lengths) - lengths
-            h = mix(lengths.astype(np.uint64) + _SALTS[k][1])
+            h = mix(lengths.astype(np.uint64) + self.salts[k][1])
             short = lengths <= _LONG
             for at in range(0, int(lengths[short].max(initial=0)), 8):
                 some = np.flatnonzero(short & (lengths > at)) if at else np.flatnonzero(short)
                 x = eight[first[some] + at] & _MASKS[np.minimum(lengths[some] - at, 8)]
-                h[some] = pair(h[some], x, k)
+                h[some] = pair(h[some], x, k, self.salts)
+            salt = b"".join(int(x).to_bytes(8, "little") for x in self.salts[0])
             for i in np.flatnonzero(~short).tolist():
                 word = self._kept[first[i] : first[i] + lengths[i]].tobytes()
-                h[i] = int.from_bytes(blake2b(word, digest_size=16, key=_KEY).digest()[8 * k : 8 * k + 8], "little")
+                h[i] = int.from_bytes(blake2b(word, digest_size=16, key=_KEY, salt=salt).digest()[8 * k : 8 * k + 8], "little")
             self._lanes[k] = h
         return self._lanes[k]
 
@@ -168,7 +177,7 @@ class Words:
         at = np.arange(len(self.start)) if at is None else at
         at = at[at + length <= len(self.start)]
         at = at[self.text[at] == self.text[at + length - 1]]
-        return at, *(doubled(self.lane(k), length, k)[at] for k in range(lanes))
+        return at, *(doubled(self.lane(k), length, k, salts=self.salts)[at] for k in range(lanes))
 
     def wholes(self, texts: np.ndarray, lane: int = 0) -> np.ndarray:
         """Keys of all words of each of these (short) texts, by their number of words."""
@@ -177,7 +186,7 @@ class Words:
         out = words[first]
         for k in range(1, int(n.max(initial=0))):
             some = np.flatnonzero(n > k)
-            out[some] = pair(out[some], words[first[some] + k], lane)
+            out[some] = pair(out[some], words[first[some] + k], lane, self.salts)
         return mix(out ^ mix(n.astype(np.uint64)))
 
 

@@ -6,7 +6,7 @@ wanted length (the last step joins two overlapping windows). A window whose part
 cannot be repeated, so each level looks at the survivors of the one before only.
 
 Levels before the last compare 32 bits of a key beside the owner's share, which may keep a
-unique window as a candidate; the last level compares keys of 128 bits (see rolling).
+unique window as a candidate; the last level compares keys of 128 bits, salted anew in each run (see rolling).
 
 Defined cases: null and empty text, or text of fewer words than a window, loses nothing;
 repeated rows are documents of their own, so their windows are repeated; an empty table gives
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.common import NOTE, ask, bits, each_block, flags, owners, repeated_in, shares, text_blocks, total_bytes, with_replies
-from ledgerline.llm.rolling import Words, covered, distinct_keys, text_buffer
+from ledgerline.llm.rolling import Words, covered, distinct_keys, fresh_salts, text_buffer
 
 WORDS = 35
 #: Names of the results.
@@ -45,13 +45,14 @@ class _Levels:
 
     def __init__(self, length: int, n_owners: int, text: str):
         self.steps, self.n_owners, self.text = levels(length), n_owners, text
+        self.salts = fresh_salts()
 
     def kind(self, k: int) -> tuple[type, int]:
         """Type and lanes of the keys that a level sends."""
         return (np.uint64, 2) if k == len(self.steps) - 1 else (np.uint32, 1)
 
     def words(self, documents: pa.Table) -> Words:
-        return Words(*text_buffer(documents.column(self.text)))
+        return Words(*text_buffer(documents.column(self.text)), salts=self.salts)
 
     def windows(self, words: Words, k: int, before: np.ndarray | None) -> tuple[np.ndarray, ...]:
         """First words of the windows that may be repeated, their distinct keys, which of them each has,
