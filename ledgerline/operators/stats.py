@@ -42,7 +42,8 @@ def _percentiles(dealt: DataFrame, value: Column, points: tuple[float, ...], nam
     holds = lambda r: F.max(F.when((r >= F.col("_until") - F.col("_n")) & (r < F.col("_until")), F.col("_x.v")))
     both = ranked.groupBy("_g", F.col("_x.k").alias("_k")).agg(holds(F.floor(place)).alias("_a"), holds(F.ceil(place)).alias("_b"), F.first(place - F.floor(place)).alias("_part"))
     known = lambda c: F.coalesce(c, F.raise_error(F.lit("a wanted rank lies outside of its bracket")).cast("double"))
-    found = both.select("_g", "_k", (known(F.col("_a")) + (known(F.col("_b")) - F.col("_a")) * F.col("_part")).alias("_p"))
+    between = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(known(F.col("_a")) + (known(F.col("_b")) - F.col("_a")) * F.col("_part"))
+    found = both.select("_g", "_k", between.alias("_p"))
     return found.groupBy("_g").agg(F.array(*[F.max(F.when(F.col("_k") == k, F.col("_p"))) for k in range(len(points))]).alias(name))
 
 
