@@ -176,6 +176,12 @@ def padded_cik(cik: Column | str) -> Column:
     return F.when(F.length(text) >= 10, text).otherwise(F.lpad(text, 10, "0"))
 
 
+def key_text(key: Column | str) -> Column:
+    """A key as text, however it was read: 12, 12.0 and '12' are '12'; NULL, NaN and other text are NULL and match nothing."""
+    number = col(key).cast("string").try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number.try_cast("bigint").cast("string"))
+
+
 def identity_gap(assets: Column | str, liabilities: Column | str, equity: Column | str) -> Column:
     """Percent by which liabilities and equity miss the assets."""
     return safe_ratio(F.abs(col(liabilities) + col(equity) - col(assets)), F.abs(col(assets))) * 100

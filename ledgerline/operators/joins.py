@@ -9,6 +9,13 @@ from pyspark.sql import Window as W
 from ledgerline.functions.columns import ticker_variants
 
 
+def unique_by(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows, of which no two have the same keys; the action fails if two have. For sides of a join that may not multiply rows."""
+    twice = F.count(F.lit(1)).over(W.partitionBy(*keys)) > 1
+    error = F.concat_ws(" ", F.lit(f"several rows of one {', '.join(keys)}:"), *[F.col(k).cast("string") for k in keys])
+    return rows.withColumn("_ok", F.when(twice, F.raise_error(error)).otherwise(F.lit(True))).filter("_ok").drop("_ok")
+
+
 def matched_or_why(left: DataFrame, right: DataFrame, key: str, failed: Column) -> DataFrame:
     """left with right's columns by key, and state: matched, error (right's row failed) or no_row."""
     joined = left.join(right.withColumn("_there", F.lit(True)), key, "left")
@@ -48,3 +55,13 @@ def bounded_scan(rows: DataFrame, by: list[str], order: list, matches: Column, m
     at = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     counted = rows.withColumns({"_m": matches}).withColumns({"_examined": F.count(F.lit(1)).over(at), "_matches": F.count_if("_m").over(at)})
     return counted.filter(F.col("_m") & (F.col("_examined") <= most_examined) & (F.col("_matches") <= most_matches)).drop("_m", "_examined", "_matches")
+
+
+def first_group(rows: DataFrame, key: str, tags: str, members: DataFrame, order: list[str], other: str = "otro") -> DataFrame:
+    """rows with group: the first of `order` that has one of the row's tags (an array) among its members (tag, group), else `other`.
+    rows are unique by key; members may be of any size."""
+    ranks = F.create_map(*[F.lit(x) for k, g in enumerate(order) for x in (g, k)])
+    ranked = members.filter(F.col("group").isin(order)).groupBy("tag").agg(F.min(ranks[F.col("group")]).alias("_rank"))
+    best = rows.select(key, F.explode(F.array_distinct(tags)).alias("tag")).join(ranked, "tag").groupBy(key).agg(F.min("_rank").alias("_rank"))
+    names = F.array(*map(F.lit, order))
+    return rows.join(best, key, "left").withColumn("group", F.coalesce(F.try_element_at(names, F.col("_rank") + 1), F.lit(other))).drop("_rank")

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ledgerline.functions import columns as C
 from ledgerline.operators import intervals, joins, periods, ratios, screen, stats
-from ledgerline.plans import history, labels, pages, series, sourced, storage, text  # noqa: F401  (they register their queries)
+from ledgerline.plans import history, labels, pages, series, sourced, storage, template, text  # noqa: F401  (they register their queries)
 from ledgerline.plans.base import QUERIES, SQL, Query, query
 from ledgerline.plans.base import r as _r
 from ledgerline.plans.base import rounded as _rounded

@@ -19,7 +19,9 @@ _PLACES = "".join(chr(c) for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
-    return spark.read.schema(schema).options(header=True, encoding="UTF-8", **options).csv(path)
+    """Rows of a CSV sheet; blanks are NULL, and so is what is not a number (Spark orders NaN above all numbers)."""
+    df = spark.read.schema(schema).options(header=True, encoding="UTF-8", **options).csv(path)
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")})
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:

@@ -50,6 +50,17 @@ def envelope(rows: DataFrame, timestamp: str, order: list[str], group: str) -> D
     return packed.select(group, F.to_json(F.struct(F.lit(timestamp).alias("timestamp"), F.size("rows").alias("count"), "rows")).alias("document"))
 
 
+def envelope_parts(rows: DataFrame, timestamp: str, order: list[str], group: str, most: int = 10_000) -> DataFrame:
+    """As envelope, in documents {timestamp, part, parts, count, rows} of at most `most` rows, so that a group may have any
+    number: group, part and document."""
+    at = W.partitionBy(group).orderBy(*order)
+    numbered = rows.withColumns({"_part": F.floor((F.row_number().over(at) - 1) / most).cast("int"), "_all": F.count(F.lit(1)).over(W.partitionBy(group))})
+    packed = numbered.groupBy(group, "_part", "_all").agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in rows.columns if c not in (*order, group)]))).alias("rows"))
+    parts = F.ceil(F.col("_all") / most).cast("int")
+    document = F.to_json(F.struct(F.lit(timestamp).alias("timestamp"), F.col("_part").alias("part"), parts.alias("parts"), F.size("rows").alias("count"), "rows"))
+    return packed.select(group, F.col("_part").alias("part"), document.alias("document"))
+
+
 def checked_write(df: DataFrame, path: str, sentinel: str, fmt: str = "parquet", **options) -> int:
     """Writes beside `path`, counting the rows on the way, reads back, compares the counts, asks for a row that
     meets `sentinel`, and only then takes path's place. Returns the number of rows. A table of an
