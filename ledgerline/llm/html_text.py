@@ -16,6 +16,7 @@ ignored.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 
 import numpy as np
@@ -45,7 +46,8 @@ _SCOPE = frozenset("caption table td th".split())
 # A quote opens a value only right behind the equals sign; inside an unquoted value it is a letter like any other.
 _ATTRIBUTES = r"(?:[^>\"'=]|=\s*\"[^\"]*(?:\"|$)|=\s*'[^']*(?:'|$)|=\s*[^\s\"'>][^\s>]*|[\"'=])*"
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(?P<raw>{_RAW})\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|$)|<!\[CDATA\[|<[!?][^>]*(?:>|$)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>{_ATTRIBUTES})(?:>|$)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.I)
+# One attribute: its whole name, and its value where it has one.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s\"'>][^\s>]*)))?")
 
 
 def _boilerplate(tag: str, more: str, inside: bool) -> str:
@@ -71,18 +73,22 @@ def page_lines(page: str) -> list[dict]:
     plain: not boilerplate. An element that its kind or name marks as boilerplate counts as none if
     it holds main or the longest article, one that its name marks also if it holds most of the
     text of a page that has no article outside it."""
-    lines: list[tuple[str, int]] = []  # text, and the innermost marked element around it
+    lines: list[list[tuple[str, int]]] = []  # stretches of text, each with the innermost marked element around it
     marks: list[tuple[str, str, int]] = []  # tag, what speaks against it, the marked element around it
     stack: list[tuple[str, int]] = []  # open elements, and the innermost marked element from there
     count: dict[str, int] = {}
-    parts: list[str] = []
+    parts: list[tuple[str, int]] = []
     at = depth = 0
 
+    def add(text: str) -> None:
+        if text:
+            parts.append((text, stack[-1][1] if stack else -1))
+
     def flush() -> None:
-        text = " ".join(html.unescape("".join(parts)).split())
+        line = [(html.unescape("".join(t for t, _ in some)), mark) for mark, some in itertools.groupby(parts, lambda x: x[1])]
         parts.clear()
-        if text:
-            lines.append((text, stack[-1][1] if stack else -1))
+        if any(t and not t.isspace() for t, _ in line):
+            lines.append(line)
 
     def end(tags: tuple[str, ...], stops: frozenset[str] | tuple[str, ...]) -> None:
         """Ends the innermost open element of tags, with all in it, unless one of stops is around first."""
@@ -91,8 +97,6 @@ def page_lines(page: str) -> list[dict]:
             return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in tags:
-                if stack[-1][1] != (stack[k - 1][1] if k else -1):
-                    flush()
                 for t, _ in stack[k:]:
                     count[t] -= 1
                     depth -= t in _ARTICLE
@@ -102,15 +106,15 @@ def page_lines(page: str) -> list[dict]:
                 return
 
     for m in _TOKEN.finditer(page):
-        parts.append(page[at : m.start()])
+        add(page[at : m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         if tag == "br":
-            parts.append(" ")
+            add(" ")
             continue
-        block = tag in _BLOCKS or tag in _NO_TEXT
+        block = tag in _BLOCKS
         if block:
             flush()
         if m["end"]:
@@ -124,27 +128,28 @@ def page_lines(page: str) -> list[dict]:
             continue
         against, above = _boilerplate(tag, m["more"], depth > 0), stack[-1][1] if stack else -1
         if against or tag in _ARTICLE:
-            flush()
             marks.append((tag, against, above))
             above = len(marks) - 1
         stack.append((tag, above))
         count[tag] = count.get(tag, 0) + 1
         depth += tag in _ARTICLE
-    parts.append(page[at:])
+    add(page[at:])
     flush()
     return _judged(lines, marks)
 
 
-def _judged(lines: list[tuple[str, int]], marks: list[tuple[str, str, int]]) -> list[dict]:
+def _judged(lines: list[list[tuple[str, int]]], marks: list[tuple[str, str, int]]) -> list[dict]:
     size, never = [0] * len(marks), []
     for _, against, above in marks:
         never.append(against == "never" or above >= 0 and never[above])
     total = 0
-    for text, k in lines:
-        if k < 0 or not never[k]:
-            total += len(text)
-            if k >= 0:
-                size[k] += len(text)
+    for line in lines:
+        for text, k in line:
+            if k < 0 or not never[k]:
+                n = len(" ".join(text.split()))
+                total += n
+                if k >= 0:
+                    size[k] += n
     for k in range(len(marks) - 1, -1, -1):
         if marks[k][2] >= 0:
             size[marks[k][2]] += size[k]
@@ -163,7 +168,13 @@ def _judged(lines: list[tuple[str, int]], marks: list[tuple[str, str, int]]) ->
         skipped.append(not kept or above >= 0 and skipped[above])
         around = article[above] if above >= 0 else -1
         article.append(k if around < 0 and tag in _ARTICLE else around)
-    return [{"text": text, "article": article[k] if k >= 0 else -1, "plain": k < 0 or not skipped[k]} for text, k in lines]
+    out = []
+    for line in lines:
+        kept = [(text, k) for text, k in line if k < 0 or not skipped[k]]
+        text = " ".join("".join(t for t, _ in kept).split())
+        k = next((k for t, k in kept or line if t and not t.isspace()), -1)
+        out.append({"text": text or " ".join("".join(t for t, _ in line).split()), "article": article[k] if k >= 0 else -1, "plain": bool(text)})
+    return out
 
 
 def between_surge_and_dive(lines: list[dict], window: int = WINDOW, surge: int = SURGE) -> list[str]:

@@ -51,6 +51,27 @@ def test_quotes_open_values_only_behind_an_equals_sign(attribute):
     assert _text(f"<article><p>{LONG}</p><p {attribute}>{LONG}</p><p>it's {LONG}</p></article>") == [LONG, LONG, f"it's {LONG}"]
 
 
+@pytest.mark.parametrize("attributes", ["style='overflow: hidden'", "title='a hidden gem'", "data-hidden='false'", "data-class='ads'", "data-role=navigation", "alt='role=alert hidden'", "aria-hidden='false'", "style=\"overflow:hidden"])
+def test_only_an_attribute_of_that_name_counts(attributes):
+    if attributes.count('"') == 1:  # never closed: all the rest of the page is its value
+        assert _text(f"<article><p>{LONG}</p></article><div {attributes}><p>{LONG}") == [LONG]
+        return
+    assert _text(f"<div {attributes}><p>{LONG}</p><p>{LONG}</p></div>") == [LONG, LONG]
+    assert _text(f"<article><p>{LONG}</p><div {attributes}>{LONG}</div></article>") == [LONG, LONG]
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "class='x ads' id=y", "aria-hidden=TRUE", "title='x' role=navigation"])
+def test_marked_elements_go(attributes):
+    assert _text(f"<article><p>{LONG}</p><p>{LONG}</p><div {attributes}>{LONG}</div></article>") == [LONG, LONG]
+
+
+def test_inline_elements_do_not_cut_a_block():
+    assert _text(f"<article><p>{LONG} <span style='visibility:hidden'>and</span> {LONG}</p></article>") == [f"{LONG} and {LONG}"]
+    assert _text(f"<article><p>{LONG} <span hidden>not this</span> {LONG}</p></article>") == [f"{LONG} {LONG}"]
+    assert _text(f"<article><p>{LONG}<button>Share</button> <b class=ad>Buy</b>&amp; <i>more</i></p></article>") == [f"{LONG} & more"]
+    assert _text(f"<article><p>{LONG}</p><a class=promo><div>{LONG}</div></a><p>{LONG}</p></article>") == [LONG, LONG]
+
+
 def test_odd_pages():
     assert _text(f"<p>{LONG}<!-- never closed <p>{LONG}") == [LONG]
     assert _text(f"<p>{LONG}</p><p title='never closed>{LONG}</p>") == [LONG]
