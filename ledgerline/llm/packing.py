@@ -2,13 +2,10 @@
 
 A configuration says how many pieces of each length one sequence holds. The linear program
 asks for the fewest sequences whose configurations cover the length histogram. It is solved
-by multiplicative weights: every length has a price, its share of a sequence times a weight that
-falls as its demand is met; a knapsack dynamic program prices all room at once, and from its
-table follows the best configuration that holds a given length, among the pieces that are left. Each round
-prices anew and uses the best configurations of the longest open lengths for a part of their demand.
-The steps are rounded as they are taken: a configuration is used a whole number of times, at least
-once, and never more often than its pieces last. So the demand is met exactly and every sequence is
-a priced configuration; there is no rest to repair. All of this sees only the histogram (as many rows as
+by multiplicative weights: a knapsack dynamic program prices all room, near-best configurations of its table are used in
+fractions, and the weights of lengths that went short grow. The knapsack's value also bounds the program from below. The
+fractions are rounded to whole numbers and the rest is a program of its own, down to a few pieces for
+best-fit decreasing, which is also what no plan may exceed. All of this sees only the histogram (as many rows as
 there are lengths, so the capacity bounds it); the pieces get their places in Spark.
 
 Defined cases: null and empty text is one piece that holds the terminator alone; ties and
@@ -19,6 +16,7 @@ from __future__ import annotations
 
 import array
 import base64
+import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,8 +38,11 @@ REMEMBERED, LONGEST = 250_000, 64
 CHUNK = 1 << 20
 #: Pieces whose ranks one window task assigns.
 RANK_BUCKET = 20_000
-#: Share of the work that a round of the linear program does; weight of an open length, and its decay.
-EPSILON, GAMMA, ETA = 0.02, 0.02, 4.0
+#: Rounds of multiplicative weights, levels of rounding, the step of a weight, and the shares of the best
+#: price that a configuration may lack, in turn by round.
+ROUNDS, LEVELS, ETA, WITHIN = 6, 3, 0.1, (1.0, 0.0005, 0.01)
+#: Prices are whole numbers, so that equal prices are exactly equal: a sequence's at weight one, and none at all.
+UNIT, NEVER = 1 << 32, -(1 << 60)
 
 # A word with the single white space before it. Byte-level BPE's own pattern begins a word wherever one plain
 # white space stands between two other characters; any other white space stays inside a word here.
@@ -153,7 +154,7 @@ def token_pieces(docs: DataFrame, path: str, ranks_path: str, id_col: str = "doc
 
 def _best_values(price: np.ndarray, capacity: int) -> np.ndarray:
     """The largest total price of pieces (any number of each length) that fit in each room."""
-    best, some = np.zeros(capacity + 1), np.flatnonzero(price > 0)
+    best, some = np.zeros(capacity + 1, price.dtype), np.flatnonzero(price > 0)
     dense = 4 * len(some) > capacity
     for c in range(int(some[0]), capacity + 1):
         if dense:
@@ -165,47 +166,165 @@ def _best_values(price: np.ndarray, capacity: int) -> np.ndarray:
     return best
 
 
-def solve_configurations(histogram: dict[int, int], capacity: int, epsilon: float = EPSILON) -> list[tuple[dict[int, int], int]]:
-    """(configuration, times) pairs that hold exactly the histogram's pieces."""
-    demand = np.zeros(capacity + 1, np.int64)
-    for n, k in histogram.items():
-        demand[n] = k
-    left, lengths = demand.copy(), np.arange(capacity + 1)
-    out: list[tuple[dict[int, int], int]] = []
-    while left.any():
-        some = np.flatnonzero(left)
-        met = 1 - left[some] / demand[some]
-        price = np.full(capacity + 1, -np.inf)
-        price[some] = some / capacity * (1 + GAMMA * np.exp(-ETA * (met - met.min())))
-        best, full = _best_values(price, capacity), price.copy()
-        goal = max(1, -int(-epsilon * (left @ lengths) // capacity))
-        for longest in some[::-1].tolist():
-            if not left[longest]:
-                continue
-            # follow the table from the longest piece on, over the lengths that still have pieces
+Plan = list[tuple[dict[int, int], int]]
+
+
+def best_fit_decreasing(demand: np.ndarray, capacity: int) -> Plan:
+    """Longest pieces first, each into the fullest sequence that has room for it. Sequences filled alike are
+    one row with a count, so the work follows the lengths, not the pieces."""
+    open_: dict[int, list[tuple[dict[int, int], int]]] = {}  # sequences by their room
+    rooms: list[int] = []  # ascending
+    for n in np.flatnonzero(demand)[::-1].tolist():
+        left = int(demand[n])
+
+        def put(config: dict[int, int], times: int, room: int) -> None:
+            if room not in open_:
+                open_[room] = []
+                bisect.insort(rooms, room)
+            open_[room].append((config, times))
+
+        while left:
+            at = bisect.bisect_left(rooms, n)
+            if at < len(rooms):
+                room = rooms[at]
+                config, times = open_[room].pop()
+                if not open_[room]:
+                    del open_[room], rooms[at]
+            else:
+                room, config, times = capacity, {}, left
+            each = room // n
+            full = min(times, left // each)
+            if full:
+                put({**config, n: each}, full, room - each * n)
+            left -= full * each
+            if times > full:
+                some = min(left, each)  # fewer than each, if any: the last pieces of this length
+                if some:
+                    put({**config, n: some}, 1, room - some * n)
+                    left -= some
+                if config and times - full - (some > 0):
+                    put(config, times - full - (some > 0), room)
+    return [x for room in rooms for x in open_[room]]
+
+
+def _near_best(left: np.ndarray, price: np.ndarray, best: np.ndarray, capacity: int, budget: float, within: float) -> list[tuple[dict[int, int], float]]:
+    """Configurations of the greatest price for each length, from the knapsack's table, if they come within a
+    share of the best price of all, each used as often as its pieces last, until the budget of
+    sequences is spent. `left` is used up."""
+    out, spent = [], 0.0
+    usable = np.where(left > 0, price, NEVER)
+    for longest in np.flatnonzero(left > 0)[::-1].tolist():
+        while left[longest] > 0 and spent < budget:
             counts, room, n = {}, capacity, longest
             while room:
-                counts[n] = counts.get(n, 0) + 1
-                room -= n
-                if counts[n] == left[n]:
-                    price[n] = -np.inf
+                # as many at once as the table would take one by one
+                path = best[room::-n]
+                same = path[:-1] - path[1:] == price[n]
+                run = len(same) if same.all() else int(same.argmin())
+                k = max(1, min(run, int(left[n]) - counts.get(n, 0)))
+                counts[n] = counts.get(n, 0) + k
+                room -= k * n
+                if counts[n] + 1 > left[n]:
+                    usable[n] = NEVER
                 if not room:
                     break
-                gains = price[1 : room + 1] + best[room - 1 :: -1][:room]
-                n = int(gains.argmax()) + 1
-                if gains[n - 1] == -np.inf:
+                gains = usable[room:0:-1] + best[:room]  # by the room that is left then
+                at = int(gains.argmax())  # the longest of equals: short pieces fit later as well
+                if gains[at] < 0:
                     break
-            times = min(max(1, int(epsilon * left[longest] / counts[longest])), min(int(left[n]) // k for n, k in counts.items()))
+                n = room - at
+            good = sum(k * price[n] for n, k in counts.items()) >= (1 - within) * best[capacity]
+            times = min(budget - spent, min(left[n] / k for n, k in counts.items())) if good else 0.0
             for n, k in counts.items():
-                left[n] -= k * times
-                price[n] = full[n] if left[n] else -np.inf
-            out.append((counts, times))
-            goal -= times
-            if goal <= 0:
+                left[n] = max(0.0, left[n] - k * times)
+                if left[n] < 1e-9:
+                    left[n] = 0.0
+                usable[n] = price[n] if left[n] else NEVER
+            if times < 1e-9:
                 break
+            out.append((counts, times))
+            spent += times
+    return out
+
+
+Fractions = list[tuple[dict[int, int], float]]
+
+
+def fractional_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS, eta: float = ETA) -> Iterator[tuple[Fractions, float]]:
+    """Fractional solutions of the linear program (one of each round, then their average), each with the lower bound so far.
+    Every length has a weight; its price is its weight times its share of a sequence. In a round the
+    knapsack prices all room; its value gives a dual bound, and near-best configurations are used as often as that bound
+    says, no length more often than its demand. Then a length's weight is multiplied by (1 + eta) to the power of the
+    share of its demand that went unused."""
+    lengths, some = np.arange(capacity + 1), demand > 0
+    weight, bound, total = np.ones(capacity + 1), 0.0, {}
+    for k in range(rounds):
+        price = np.where(some, np.rint(weight * lengths * (UNIT // capacity)), 0).astype(np.int64)
+        best = _best_values(price, capacity)
+        bound = max(bound, float(demand.astype(float) @ price) / float(best[capacity]))
+        left = demand.astype(float)
+        fractions = _near_best(left, price, best, capacity, bound, WITHIN[k % len(WITHIN)])
+        yield fractions, bound
+        for config, times in fractions:
+            key = tuple(config.items())
+            total[key] = total.get(key, 0.0) + times / rounds
+        weight = weight * (1 + eta) ** np.divide(left, demand, out=np.zeros(capacity + 1), where=some)
+        weight /= weight[some].min()
+    yield sorted(((dict(key), x) for key, x in total.items()), key=lambda c: -c[1]), bound
+
+
+def _rounded(fractions: Fractions, left: np.ndarray) -> Plan:
+    """Whole numbers whose running sum is kept to that of the fractions, as far as the pieces last. These are taken from left."""
+    carried, out = 0.0, []
+    for config, x in fractions:
+        carried += x
+        times = min(int(carried + 1e-9), *(int(left[n]) // k for n, k in config.items()))
+        if times > 0:
+            out.append((config, times))
+            carried -= times
+            for n, k in config.items():
+                left[n] -= k * times
     return out
 
 
+def solve_configurations(histogram: dict[int, int], capacity: int, report: list[dict] | None = None) -> Plan:
+    """(configuration, times) pairs that hold exactly the histogram's pieces. The program's fractional solutions are
+    rounded; with each, what its whole numbers leave is packed by best-fit decreasing, and the solution with the fewest
+    sequences in all is taken. Its rest is then a program
+    of its own. Where best-fit decreasing alone needs fewer sequences than every rounded solution it is taken, so the plan is
+    never longer than its plan. report: gets a row a level (pieces, bound, best_fit of all, rounded sequences, residue)."""
+    left = np.zeros(capacity + 1, np.int64)
+    for n, k in histogram.items():
+        left[n] = k
+    used: Plan = []
+    rest = best_fit_decreasing(left, capacity)
+    for _ in range(LEVELS):
+        n_rest = sum(k for _, k in rest)
+        if not n_rest:
+            break
+        found, bound = [], 0.0
+        for fractions, bound in fractional_configurations(left, capacity):
+            after = left.copy()
+            step = _rounded(fractions, after)
+            then = best_fit_decreasing(after, capacity)
+            total = sum(k for _, k in step) + sum(k for _, k in then)
+            if step and total <= n_rest:
+                found.append(((total, int(after.sum())), step, then, after))
+                if total <= np.ceil(bound - 1e-6):  # no plan is shorter
+                    break
+        # sequences within a ten-thousandth are as few: of these, the one with the fewest pieces left
+        least = min((x[0][0] for x in found), default=0)
+        chosen = min((x for x in found if x[0][0] <= least + n_rest // 10_000), key=lambda x: x[0][::-1], default=None)
+        if report is not None:
+            report.append({"pieces": int(left.sum()), "bound": bound, "best_fit": n_rest, "rounded": sum(k for _, k in chosen[1]) if chosen else 0, "residue": chosen[0][1] if chosen else int(left.sum())})
+        if chosen is None:
+            break
+        used, rest, left = used + chosen[1], chosen[2], chosen[3]
+        if chosen[0][0] <= np.ceil(bound - 1e-6):
+            break
+    return used + rest
+
+
 def least_sequences(histogram: dict[int, int], capacity: int) -> int:
     """A lower bound: by the tokens, and by the pieces of which no two fit in one sequence."""
     return max(-(-sum(n * k for n, k in histogram.items()) // capacity), sum(k for n, k in histogram.items() if 2 * n > capacity))

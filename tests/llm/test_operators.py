@@ -87,6 +87,49 @@ def test_packing_needs_few_sequences(some, most, over):
     assert used == histogram
     assert sum(times for _, times in plan) <= over * packing.least_sequences(histogram, 2048) + 1
     assert packing.solve_configurations({}, 2048) == []
+    demand = np.zeros(2049, np.int64)
+    demand[list(histogram)] = list(histogram.values())
+    assert sum(times for _, times in plan) <= sum(times for _, times in packing.best_fit_decreasing(demand, 2048))
+
+
+def _plain_best_fit(pieces, capacity):
+    rooms: list[int] = []
+    for n in sorted(pieces, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else capacity) - n)
+    return sorted(rooms)
+
+
+def test_packing_against_best_fit_and_the_bound():
+    rnd = random.Random(4)
+    for k in range(60):
+        capacity = rnd.choice([7, 20, 64])
+        pieces = [rnd.randrange(1, capacity + 1) if k % 2 else rnd.randrange(capacity // 4, capacity // 2 + 1) or 1 for _ in range(rnd.randrange(1, 120))]
+        demand = np.bincount(pieces, minlength=capacity + 1)
+        rest = packing.best_fit_decreasing(demand, capacity)
+        rooms = sorted(r for config, times in rest for r in [capacity - sum(n * m for n, m in config.items())] * times)
+        assert rooms == _plain_best_fit(pieces, capacity)
+        report: list = []
+        plan = packing.solve_configurations({n: int(demand[n]) for n in set(pieces)}, capacity, report)
+        used = np.zeros(capacity + 1, int)
+        for config, times in plan:
+            assert sum(n * m for n, m in config.items()) <= capacity and times > 0
+            for n, m in config.items():
+                used[n] += m * times
+        assert (used == demand).all()
+        assert report[0]["bound"] - 1e-6 <= sum(times for _, times in plan) <= len(rooms)
+
+
+def test_the_program_beats_best_fit_on_thirds():
+    """Best-fit decreasing joins two long thirds and leaves a hole; the program finds the triples."""
+    histogram = {n: 20 + n % 7 for n in range(600, 760)}
+    demand = np.zeros(2049, np.int64)
+    demand[list(histogram)] = list(histogram.values())
+    ours = sum(times for _, times in packing.solve_configurations(histogram, 2048))
+    assert ours < 0.95 * sum(times for _, times in packing.best_fit_decreasing(demand, 2048))
+    assert ours <= 1.02 * packing.least_sequences(histogram, 2048)
 
 
 def test_top_k(spark, monkeypatch):
