@@ -39,8 +39,8 @@ CHUNK = 1 << 20
 #: Pieces whose ranks one window task assigns.
 RANK_BUCKET = 20_000
 #: Rounds of multiplicative weights, levels of rounding, the step of a weight, and the shares of the best
-#: price that a configuration may lack, in turn by round.
-ROUNDS, LEVELS, ETA, WITHIN = 6, 3, 0.1, (1.0, 0.0005, 0.01)
+#: price that a configuration may lack (a solution of each in every round).
+ROUNDS, LEVELS, ETA, WITHIN = 3, 3, 0.1, (1.0, 0.01, 0.0005)
 #: Prices are whole numbers, so that equal prices are exactly equal: a sequence's at weight one, and none at all.
 UNIT, NEVER = 1 << 32, -(1 << 60)
 
@@ -251,33 +251,37 @@ Fractions = list[tuple[dict[int, int], float]]
 
 
 def fractional_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS, eta: float = ETA) -> Iterator[tuple[Fractions, float]]:
-    """Fractional solutions of the linear program (one of each round, then their average), each with the lower bound so far.
+    """Fractional solutions of the linear program (some of each round, then their average), each with the lower bound so far.
     Every length has a weight; its price is its weight times its share of a sequence. In a round the
     knapsack prices all room; its value gives a dual bound, and near-best configurations are used as often as that bound
     says, no length more often than its demand. Then a length's weight is multiplied by (1 + eta) to the power of the
     share of its demand that went unused."""
     lengths, some = np.arange(capacity + 1), demand > 0
     weight, bound, total = np.ones(capacity + 1), 0.0, {}
-    for k in range(rounds):
+    for _ in range(rounds):
         price = np.where(some, np.rint(weight * lengths * (UNIT // capacity)), 0).astype(np.int64)
         best = _best_values(price, capacity)
         bound = max(bound, float(demand.astype(float) @ price) / float(best[capacity]))
-        left = demand.astype(float)
-        fractions = _near_best(left, price, best, capacity, bound, WITHIN[k % len(WITHIN)])
-        yield fractions, bound
-        for config, times in fractions:
-            key = tuple(config.items())
-            total[key] = total.get(key, 0.0) + times / rounds
-        weight = weight * (1 + eta) ** np.divide(left, demand, out=np.zeros(capacity + 1), where=some)
+        missed = np.zeros(capacity + 1)
+        for within in WITHIN:
+            left = demand.astype(float)
+            fractions = _near_best(left, price, best, capacity, bound, within)
+            yield fractions, bound
+            for config, times in fractions:
+                key = tuple(config.items())
+                total[key] = total.get(key, 0.0) + times / (rounds * len(WITHIN))
+            missed += np.divide(left, demand, out=np.zeros(capacity + 1), where=some) / len(WITHIN)
+        weight = weight * (1 + eta) ** missed
         weight /= weight[some].min()
     yield sorted(((dict(key), x) for key, x in total.items()), key=lambda c: -c[1]), bound
 
 
-def _rounded(fractions: Fractions, left: np.ndarray) -> Plan:
-    """Whole numbers whose running sum is kept to that of the fractions, as far as the pieces last. These are taken from left."""
+def _rounded(fractions: Fractions, left: np.ndarray, carry: bool) -> Plan:
+    """Whole numbers, rounded down; with carry, their running sum is kept to that of the fractions. No more than the
+    pieces last; these are taken from left."""
     carried, out = 0.0, []
     for config, x in fractions:
-        carried += x
+        carried = carried + x if carry else x
         times = min(int(carried + 1e-9), *(int(left[n]) // k for n, k in config.items()))
         if times > 0:
             out.append((config, times))
@@ -303,9 +307,9 @@ def solve_configurations(histogram: dict[int, int], capacity: int, report: list[
         if not n_rest:
             break
         found, bound = [], 0.0
-        for fractions, bound in fractional_configurations(left, capacity):
+        for fractions, bound, carry in ((*x, carry) for x in fractional_configurations(left, capacity) for carry in (False, True)):
             after = left.copy()
-            step = _rounded(fractions, after)
+            step = _rounded(fractions, after, carry)
             then = best_fit_decreasing(after, capacity)
             total = sum(k for _, k in step) + sum(k for _, k in then)
             if step and total <= n_rest:
