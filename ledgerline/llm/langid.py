@@ -121,7 +121,7 @@ def _likelihoods(rows: DataFrame, columns: list[str], model: Table) -> DataFrame
     """columns, likelihood (log likelihoods by language; null without a trigram and for texts in none
     of the languages) and _foreign (whether a text is in none of them)."""
     table = rows.sparkSession.sparkContext.broadcast(model)  # BINS numbers a language
-    fields = [*(rows.schema[c] for c in columns), T.StructField("likelihood", T.ArrayType(T.DoubleType())), T.StructField("_foreign", T.BooleanType())]
+    fields = [*(rows.schema[c] for c in columns), T.StructField("_likelihood", T.ArrayType(T.DoubleType())), T.StructField("_foreign", T.BooleanType())]
     schema = to_arrow_schema(T.StructType(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,9 +164,11 @@ def _summed(counts: DataFrame, key: str, name: str, n: int) -> DataFrame:
 
 def identify(rows: DataFrame, columns: list[str], model: tuple[list[str], np.ndarray], text: Column, declared: Column, host: Column) -> DataFrame:
     """`columns`, lang, confidence (its posterior), text_lang (by the text alone) and declared_lang.
-    text, declared and host are expressions over rows; the suffix is the host's last label."""
+    text, declared and host are expressions over rows; the suffix is the host's last label. A result
+    column takes the place of a carried one of its name."""
     names, table = model
     n = len(names)
+    columns = [c for c in columns if c not in ("lang", "confidence", "text_lang", "declared_lang")]
     if not n:
         none = F.lit(None).cast("string")
         return rows.select(*columns, none.alias("lang"), F.lit(0.0).alias("confidence"), none.alias("text_lang"), none.alias("declared_lang"))
@@ -174,7 +176,7 @@ def identify(rows: DataFrame, columns: list[str], model: tuple[list[str], np.nda
     code = F.regexp_extract(F.lower(declared), r"^\s*([a-z]{2,3})(?:[-_][a-z0-9_-]*)?\s*$", 1)
     prepared = rows.withColumns({"_text": F.coalesce(text.cast("string"), F.lit("")), "_declared": F.when(code != "", code), "_host": F.when(host != "", host)})
     found = _likelihoods(prepared, [*columns, "_declared", "_host"], table)
-    best = F.when(F.col("likelihood").isNotNull(), F.array_position("likelihood", F.array_max("likelihood")).cast("int") - 1)
+    best = F.when(F.col("_likelihood").isNotNull(), F.array_position("_likelihood", F.array_max("_likelihood")).cast("int") - 1)
     found = materialize(found.withColumn("_best", best))
     zeros = F.array_repeat(F.lit(0.0), n)
     # a row for each host and language
@@ -213,9 +215,9 @@ def identify(rows: DataFrame, columns: list[str], model: tuple[list[str], np.nda
     joined = joined.withColumns({f"{c}_rows": added(F.col(c)) for c in ("_of_domain", "_of_host")})
     joined = joined.withColumn("_p1", level("_of_domain", "_p0")).withColumn("_p2", level("_of_host", "_p1"))
     plus = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    logs = plus(plus(F.coalesce("likelihood", zeros), F.transform("_p2", lambda x: F.log(x))), plus(speaks("_by_declared"), speaks("_by_suffix")))
+    logs = plus(plus(F.coalesce("_likelihood", zeros), F.transform("_p2", lambda x: F.log(x))), plus(speaks("_by_declared"), speaks("_by_suffix")))
     joined = joined.withColumn("_logs", logs).withColumn("_top", F.array_max("_logs"))
-    some = ~F.col("_foreign") & (F.col("likelihood").isNotNull() | F.col("_by_declared").isNotNull() | F.col("_by_host").isNotNull())
+    some = ~F.col("_foreign") & (F.col("_likelihood").isNotNull() | F.col("_by_declared").isNotNull() | F.col("_by_host").isNotNull())
     named = F.from_json(F.lit(json.dumps(names)), "array<string>")
     confidence = 1 / F.aggregate(F.transform("_logs", lambda x: F.exp(x - F.col("_top"))), F.lit(0.0), lambda a, b: a + b)
     chosen = F.element_at(named, F.array_position("_logs", F.col("_top")).cast("int"))

@@ -256,14 +256,14 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     x = sample.filter("part = 0").select("doc_id", "text", "toxic")
     rows = _features(x, model, ["toxic"]).collect()  # bounded by the sample
     y = np.array([r["toxic"] for r in rows], float)
-    model.weights = _regression(_shape(np.array([r["features"] for r in rows])), y).tolist()
+    model.weights = _regression(_shape(np.array([r["_features"] for r in rows])), y).tolist()
     return model
 
 
 def _features(docs: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
     """columns, and features (a list of numbers) of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    fields = [*(docs.schema[c] for c in columns), T.StructField("features", T.ArrayType(T.DoubleType()))]
+    fields = [*(docs.schema[c] for c in columns), T.StructField("_features", T.ArrayType(T.DoubleType()))]
     schema = to_arrow_schema(T.StructType(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,11 +278,13 @@ def _features(docs: DataFrame, model: Model, columns: list[str], text: str = "te
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
-    """columns (which may hold the text), score (0 to 1) and predicted (1 from THRESHOLD on)."""
+    """columns (which may hold the text), score (0 to 1) and predicted (1 from THRESHOLD on).
+    These two take the place of carried columns of their names."""
+    columns = [c for c in columns if c not in ("score", "predicted")]
     if not model.weights:
         scored = docs.select(*columns, F.lit(float(model.share)).alias("score"))
     else:
-        x = F.col("features")
+        x = F.col("_features")
         shaped = [F.log1p(x[i]) if i < 3 else x[i] for i in range(N_FEATURES)]
         z = F.lit(model.weights[-1])
         for w, v in zip(model.weights, shaped, strict=False):
